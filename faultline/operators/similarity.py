@@ -96,8 +96,10 @@ def classify(
         ids = every.agg(
             F.array_sort(F.collect_list(F.struct("pos", F.col("ID_ERROR").alias("id"))))
         ).scalar()
-        own = F.coalesce(F.transform(fitting, lambda e: e["id"]), F.array())
-        zeros = F.filter(ids, lambda e: ~F.array_contains(own, e["id"]))
+        joined = joined.withColumns(
+            {"__ids": ids, "__own": F.coalesce(F.transform(fitting, lambda e: e["id"]), F.array())}
+        )
+        zeros = F.filter("__ids", lambda e: ~F.array_contains(F.col("__own"), e["id"]))
         first = F.get(zeros, F.lit(0))
         rival = F.when(
             first.isNotNull(),
