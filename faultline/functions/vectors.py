@@ -23,10 +23,14 @@ def norm(a: str | Column) -> Column:
 
 def unit(a: str | Column) -> Column:
     """Vector of length one; a zero vector stays zero."""
-    length = norm(a)
-    return F.transform(
-        col(a), lambda x: F.when(length > 0, x.cast("double") / length).otherwise(F.lit(0.0))
-    )
+
+    def scaled(length: Column) -> Column:
+        return F.transform(
+            col(a), lambda x: F.when(length > 0, x.cast("double") / length).otherwise(F.lit(0.0))
+        )
+
+    # The length is bound by an outer lambda, else it is computed once per element.
+    return F.get(F.transform(F.array(norm(a)), scaled), F.lit(0))
 
 
 def cosine(a: str | Column, b: str | Column) -> Column:

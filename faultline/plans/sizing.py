@@ -21,3 +21,15 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 def measured_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a side after counting it; a larger one keeps the shuffled join."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Share a scan of few splits among all cores before work that is heavy per row.
+
+    A scan with at least one split per core is returned as it is, without a shuffle.
+    ``scan`` must not contain a shuffle of its own.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)

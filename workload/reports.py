@@ -144,11 +144,25 @@ SLOTS = {
 
 
 def _wide_slots(spark: SparkSession, d: str) -> DataFrame:
-    """Line items 1 to 7 of each order as seven pairs of columns."""
-    lines = table(spark, d, "lineitem")
-    values = {"serial_number": F.col("l_partkey").cast("string"), "error_type": F.when(F.col("l_quantity") > 5, F.col("l_returnflag"))}
-    return lines.groupBy(F.col("l_orderkey").alias("TicketId")).agg(
-        *[F.max(F.when(F.col("l_linenumber") == i, values[role])).alias(name) for name, (i, role) in SLOTS.items()]
+    """Line items 1 to 7 of each order as seven pairs of columns.
+
+    One-letter flags travel as their code, so that all sums have fixed width.
+    """
+    values = {
+        "serial_number": F.col("l_partkey"),
+        "error_type": F.when(F.col("l_quantity") > 5, F.ascii("l_returnflag")),
+    }
+    wide = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("TicketId")).agg(
+        *[
+            F.max(F.when(F.col("l_linenumber") == i, values[role])).alias(name)
+            for name, (i, role) in SLOTS.items()
+        ]
+    )
+    return wide.withColumns(
+        {
+            name: F.chr(name) if role == "error_type" else F.col(name).cast("string")
+            for name, (_, role) in SLOTS.items()
+        }
     )
 
 
@@ -160,7 +174,7 @@ def _slot_rows(spark: SparkSession, d: str) -> DataFrame:
 
 _SLOTS_SQL = """
 w AS (SELECT l_orderkey AS TicketId, l_linenumber AS slot,
-             max(CAST(l_partkey AS VARCHAR)) AS serial_number,
+             CAST(max(l_partkey) AS VARCHAR) AS serial_number,
              max(CASE WHEN l_quantity > 5 THEN l_returnflag END) AS error_type
       FROM lineitem WHERE l_linenumber BETWEEN 1 AND 7 GROUP BY 1, 2),
 r AS (SELECT TicketId, slot, 'serial_number' AS role, serial_number AS value FROM w
@@ -208,7 +222,7 @@ def slot_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 SLOT_GAPS = """
 SELECT l_orderkey AS TicketId,
-       max(CASE WHEN l_linenumber = 1 THEN CAST(l_partkey AS VARCHAR) END) AS slot_1_serial_number
+       CAST(max(CASE WHEN l_linenumber = 1 THEN l_partkey END) AS VARCHAR) AS slot_1_serial_number
 FROM lineitem GROUP BY l_orderkey
 HAVING count(CASE WHEN l_quantity > 5 AND l_linenumber BETWEEN 1 AND 7 THEN l_returnflag END) = 0
    AND count(CASE WHEN l_linenumber = 1 THEN l_partkey END) > 0

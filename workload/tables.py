@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.plans.sizing import spread
+
 CUT = "1999-01-01"
 
 
@@ -12,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for per-row text work, shared among all cores."""
+    return spread(table(spark, sf_dir, "documents").select(*columns), columns[0])
+
+
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as tickets: state from the status, type from the priority."""
     return table(spark, sf_dir, "orders").select(

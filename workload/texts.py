@@ -11,7 +11,8 @@ from faultline.operators import corpus as K
 from faultline.operators import features as V
 from faultline.operators import language as L
 from faultline.operators import translation as T
-from workload.tables import table
+from faultline.plans.sizing import spread
+from workload.tables import table, texts
 
 LANGUAGES = ("de", "en", "es", "fr")
 PROFILE = 1000
@@ -29,7 +30,7 @@ def _strings(words: tuple) -> str:
 
 def language_id(spark: SparkSession, d: str) -> DataFrame:
     """Language of every document, from profiles of the labelled documents."""
-    documents = table(spark, d, "documents").select("doc_id", "text", "lang")
+    documents = texts(spark, d, "doc_id", "text", "lang")
     profile = L.language_profile(documents, "text", "lang", LANGUAGES, PROFILE)
     return L.detect_language(documents, ["doc_id"], "text", profile, LANGUAGES, PROFILE)
 
@@ -73,7 +74,8 @@ WHERE language IN ('es', 'pt')
 
 
 def html_to_text(spark: SparkSession, d: str) -> DataFrame:
-    return K.html_texts(table(spark, d, "pages"), "page_id", "html")
+    pages = spread(table(spark, d, "pages").select("page_id", "html"), "page_id")
+    return K.html_texts(pages, "page_id", "html")
 
 
 _HTML_SQL = r"""
@@ -88,7 +90,7 @@ HTML_TO_TEXT = f"SELECT page_id AS doc_id, {_HTML_SQL} AS text_to_analyse FROM p
 
 
 def sentences(spark: SparkSession, d: str) -> DataFrame:
-    return K.sentence_rows(table(spark, d, "documents"), "doc_id", "text")
+    return K.sentence_rows(texts(spark, d, "doc_id", "text"), "doc_id", "text")
 
 
 _SENTENCE_SQL = r"""
@@ -107,12 +109,12 @@ FROM ({_SENTENCE_SQL.format(key="doc_id", text="text", table="documents")})
 def corpus_union(spark: SparkSession, d: str) -> DataFrame:
     """Tickets, questions, product documents and catalogue in one corpus."""
     turns = table(spark, d, "conversations")
-    product = K.sentence_rows(table(spark, d, "documents"), "doc_id", "text")
+    product = sentences(spark, d)
     catalogue = K.sentence_rows(table(spark, d, "benchmark"), "item_id", "text")
     return K.build_corpus(
         {
             "tickets": K.ticket_texts(turns, "conv_id", "role", "text"),
-            "faq": K.html_texts(table(spark, d, "pages"), "page_id", "html"),
+            "faq": html_to_text(spark, d),
             "products": product,
             "catalogue": catalogue,
         }
@@ -132,7 +134,7 @@ UNION ALL SELECT 'catalogue', CAST(doc_id AS VARCHAR), text_to_analyse
 
 def token_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Both token pipelines: without punctuation, and with letters only."""
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d, "doc_id", "text")
     plain = X.tokens("text", stop_words=STOP_WORDS, drop_punctuation=True)
     alpha = X.tokens(
         "text", stop_words=STOP_WORDS, alpha_only=True, custom_stop_words=CUSTOM_WORDS
@@ -159,7 +161,7 @@ SELECT * FROM t WHERE alpha <> ''
 
 
 def domain_stopwords(spark: SparkSession, d: str) -> DataFrame:
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d, "doc_id", "text")
     kept = X.without_words(X.split_words(F.lower("text")), CUSTOM_WORDS)
     return documents.select("doc_id", F.array_join(kept, " ").alias("text"), F.size(kept).alias("words"))
 
@@ -172,7 +174,7 @@ SELECT doc_id, array_to_string(words, ' ') AS text, CAST(len(words) AS INTEGER)
 
 
 def _weights(spark: SparkSession, d: str) -> DataFrame:
-    documents = table(spark, d, "documents").select("doc_id", "text")
+    documents = texts(spark, d, "doc_id", "text")
     vocabulary = V.fit_tfidf(documents, V.term_tokens("text"))
     return V.tfidf_weights(documents, "doc_id", "text", vocabulary)
 
@@ -203,7 +205,9 @@ TERM_WEIGHTS = f"WITH {_TFIDF_SQL} SELECT term, round(sum(weight), 6) AS weight
 
 def word2vec_docs(spark: SparkSession, d: str) -> DataFrame:
     """Document vectors of a small word-vector model."""
-    documents = table(spark, d, "documents").select("doc_id", V.term_tokens("text").alias("tokens"))
+    documents = texts(spark, d, "doc_id", "text").select(
+        "doc_id", V.term_tokens("text").alias("tokens")
+    )
     model = V.fit_word2vec(documents, "tokens", size=16, min_count=5, epochs=1, seed=1)
     return V.word2vec_vectors(model, documents, ["doc_id"]).select(
         "doc_id", F.size("vector").alias("width")
@@ -212,7 +216,9 @@ def word2vec_docs(spark: SparkSession, d: str) -> DataFrame:
 
 def encoded_documents(spark: SparkSession, d: str) -> DataFrame:
     """Hashed sentence vectors of all documents."""
-    documents = table(spark, d, "documents").select("doc_id", V.term_tokens("text").alias("tokens"))
+    documents = texts(spark, d, "doc_id", "text").select(
+        "doc_id", V.term_tokens("text").alias("tokens")
+    )
     vectors = V.hashed_vectors(documents, "tokens", ["doc_id"], width=64)
     return vectors.select("doc_id", F.size("vector").alias("width"))
 
