@@ -37,9 +37,8 @@ def token_text(c: str | Column) -> Column:
 def lcs_lengths(text: str, others: list[str]) -> np.ndarray:
     """Longest common subsequence of one text with each of many, row by row over all at once."""
     width = max(map(len, others), default=0)
-    chars = np.zeros((len(others), width), dtype=np.int32)
-    for i, other in enumerate(others):
-        chars[i, : len(other)] = [ord(ch) for ch in other]
+    padded = "".join(other.ljust(width, "\0") for other in others).encode("utf-32-le")
+    chars = np.frombuffer(padded, dtype=np.uint32).reshape(len(others), width)
     row = np.zeros((len(others), width + 1), dtype=np.int32)
     for ch in text:
         step = row[:, :-1] + (chars == ord(ch))
@@ -95,9 +94,7 @@ class _Slice:
             part = part[bound[part] >= top]
             if not len(part):
                 break
-            # shared tokens lead both sides, so their order is part of the pair
-            mine = [self._ordered(own, self.tokens[i]) for i in part]
-            lcs = self._pair_lcs(mine, [self._ordered(self.tokens[i], own) for i in part], inner[part], shared[part])
+            lcs = self._rest_lcs(own, part) + inner[part] + (shared[part] > 0)
             scores[part] = np.maximum(
                 scores[part], 200.0 * lcs / (self.lengths[part] + len(text))
             )
@@ -105,20 +102,16 @@ class _Slice:
         first = int(np.argmax(scores))
         return first, float(scores[first])
 
-    @staticmethod
-    def _ordered(tokens: frozenset[str], other: frozenset[str]) -> str:
-        return " ".join(sorted(tokens - other))
-
-    @staticmethod
-    def _pair_lcs(left: list[str], right: list[str], inner: np.ndarray, shared: np.ndarray) -> np.ndarray:
-        """LCS of ``I+A`` and ``I+B``: the shared lead, its blank, and the LCS of the rest."""
-        rest = np.zeros(len(left), dtype=np.int64)
-        groups: dict[str, list[int]] = defaultdict(list)
-        for i, text in enumerate(left):
-            groups[text].append(i)
-        for text, members in groups.items():
-            rest[members] = lcs_lengths(text, [right[i] for i in members])
-        return rest + inner + (shared > 0)
+    def _rest_lcs(self, own: frozenset[str], rows: np.ndarray) -> np.ndarray:
+        """LCS of what remains of both sides once the shared tokens, which lead both, are off."""
+        groups: dict[frozenset[str], list[int]] = defaultdict(list)
+        for i, row in enumerate(rows):
+            groups[own - self.tokens[row]].append(i)
+        result = np.zeros(len(rows), dtype=np.int64)
+        for rest, members in groups.items():
+            others = [" ".join(sorted(self.tokens[row] - own)) for row in rows[members]]
+            result[members] = lcs_lengths(" ".join(sorted(rest)), others)
+        return result
 
 
 def best_matches(
@@ -159,6 +152,8 @@ def best_matches(
     # The scoring is heavy for its few bytes: spread it over all cores, whatever its size.
     cores = codes.sparkSession.sparkContext.defaultParallelism
     texts = named.where(F.col("__text") != "").select("__text").distinct().repartition(cores)
+    if len(slices) > 1:
+        texts = durable(texts)  # read once per slice
     found = None
     for piece in slices:
         local = _match_slice(texts, piece.orderBy("pos").toPandas())
