@@ -156,7 +156,10 @@ def best_matches(
         texts = durable(texts)  # read once per slice
     found = None
     for piece in slices:
-        local = _match_slice(texts, piece.orderBy("pos").toPandas())
+        rows = piece.orderBy("pos").toPandas()
+        if rows.empty and found is not None:
+            continue
+        local = _match_slice(texts, rows)
         found = local if found is None else found.unionByName(local)
     best = found.groupBy("__text").agg(
         F.max(F.struct("score", (-F.col("pos")).alias("order"), "entry")).alias("__b")
@@ -170,6 +173,8 @@ def best_matches(
 
 def _match_slice(texts: DataFrame, entries: pd.DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if entries.empty:
+            return
         index = _Slice(entries["__text"].tolist())
         for frame in frames:
             hits = [index.best(t) for t in frame["__text"]]
