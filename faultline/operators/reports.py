@@ -52,12 +52,19 @@ def distinct_count(df: DataFrame, column: str, approximate: bool = False) -> Dat
     return df.agg(count(column).alias("distinct"))
 
 
-def with_group_size(df: DataFrame, key: str, out: str = "group_size") -> DataFrame:
+def with_group_size(
+    df: DataFrame, key: str, out: str = "group_size", bounded: bool = False
+) -> DataFrame:
     """Size of its group on every row, null for a null key.
 
     Counts are combined before the shuffle and joined back, so a hot key is
-    counted in parts and adaptive execution may split it in the join.
+    counted in parts and adaptive execution may split it in the join. ``bounded``
+    says that groups have a small natural limit, as the slots of a ticket; then a
+    window does it and keeps an existing partitioning by the key.
     """
+    if bounded:
+        size = F.count(F.lit(1)).over(Window.partitionBy(key))
+        return df.withColumn(out, F.when(F.col(key).isNotNull(), size))
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(out))
     return df.join(sizes, key, "left")
 
@@ -96,7 +103,6 @@ def pareto(
     ``top`` keeps the first rows only. ``total`` is a one-value table for the
     denominator; by default the sum over all ``counts``.
     """
-    denominator = (total if total is not None else counts.agg(F.sum(value))).scalar()
     order = [F.desc(value), F.asc(key)]
     if top is None:
         summed = running_total(counts, order, F.col(value), "cumsum")
@@ -107,6 +113,10 @@ def pareto(
             "cumsum",
             F.sum(value).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         )
+    if total is None:
+        # with all rows kept, their checkpointed form already holds the sum
+        total = (summed if top is None else counts).agg(F.sum(value))
+    denominator = total.scalar()
     return summed.withColumns(
         {
             "share": F.try_divide(F.col(value) * F.lit(scale), denominator),

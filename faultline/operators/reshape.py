@@ -35,8 +35,13 @@ def drift_report(tables: Mapping[str, DataFrame], tag: str) -> DataFrame:
 
 
 def unpivot_slots(df: DataFrame, ids: Sequence[str], slots: Sequence[str]) -> DataFrame:
-    """Wide slot columns to ``(variable, value)`` rows; empty slots are dropped."""
-    return df.unpivot(list(ids), list(slots), "variable", "value").dropna(subset=["value"])
+    """Wide slot columns to ``(variable, value)`` rows; empty slots are dropped.
+
+    Written as an inlined array, which keeps the partitioning of ``df`` where
+    ``unpivot`` loses it, so that a later pivot by the same id needs no shuffle.
+    """
+    cells = F.array(*[F.struct(F.lit(s).alias("variable"), F.col(s).alias("value")) for s in slots])
+    return df.select(*ids, F.inline(cells)).where(F.col("value").isNotNull())
 
 
 def slot_of(variable: str, slots: Mapping[str, tuple[int, str]]) -> tuple[Column, Column]:
@@ -62,7 +67,9 @@ def pivot_slots(
     df: DataFrame, keys: Sequence[str], variable: str, names: Sequence[str], value: str = "value"
 ) -> DataFrame:
     """``(keys, variable, value)`` rows back to one column per known variable."""
-    return df.groupBy(*keys).pivot(variable, list(names)).agg(F.max(value))
+    return df.groupBy(*keys).agg(
+        *[F.max(F.when(F.col(variable) == name, F.col(value))).alias(name) for name in names]
+    )
 
 
 def cluster_columns(

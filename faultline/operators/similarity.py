@@ -133,7 +133,28 @@ def _best_rows(score: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
     return rows[np.lexsort((keys[rows], -score[rows]))][:k]
 
 
-def _nearest_in_batches(
+class _Best:
+    """The ``k`` best rows seen so far for one question."""
+
+    def __init__(self, k: int) -> None:
+        self.k = k
+        self.floor = -np.inf
+        self.rows: pa.Table | None = None
+
+    def add(self, rows: pa.RecordBatch, score: np.ndarray, keys: np.ndarray) -> None:
+        best = _best_rows(score, keys, self.k)
+        found = pa.Table.from_batches([rows.take(pa.array(best))])
+        found = found.append_column("score", pa.array(score[best]))
+        if self.rows is not None:
+            found = pa.concat_tables([self.rows, found])
+            order = _best_rows(found["score"].to_numpy(), found.column(0).to_numpy(), self.k)
+            found = found.take(pa.array(order))
+        self.rows = found
+        if found.num_rows == self.k:
+            self.floor = found["score"][-1].as_py()
+
+
+def _nearest_in_tasks(
     collection: DataFrame,
     asked: pd.DataFrame,
     key: str,
@@ -142,7 +163,7 @@ def _nearest_in_batches(
     payload: Sequence[str],
     k: int,
 ) -> DataFrame:
-    """The ``k`` best rows of every Arrow batch per question, one matrix product per family."""
+    """The ``k`` best rows of every task per question, by one matrix product per batch and family."""
     questions = _unit_rows(np.array(asked["vector"].tolist(), dtype=np.float64))
     ids = asked["query_id"].to_numpy()
     groups = (
@@ -153,6 +174,7 @@ def _nearest_in_batches(
     kept = [key, *payload]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = [_Best(k) for _ in ids]
         for batch in batches:
             batch = batch.filter(batch.column(vector).is_valid())
             if not batch.num_rows:
@@ -160,21 +182,25 @@ def _nearest_in_batches(
             flat = batch.column(vector).flatten().to_numpy(zero_copy_only=False)
             vectors = _unit_rows(flat.astype(np.float64).reshape(batch.num_rows, -1))
             keys = batch.column(key).to_numpy(zero_copy_only=False)
+            rows = batch.select(kept)
             families = batch.column(family).to_numpy(zero_copy_only=False) if family else None
             for value, chosen in groups:
-                members = np.arange(len(keys)) if family is None else np.flatnonzero(families == value)
+                members = slice(None)
+                if family is not None:
+                    members = np.flatnonzero(families == value)
+                    if not len(members):
+                        continue
+                    rows = batch.select(kept).take(pa.array(members))
                 scores = np.round(vectors[members] @ questions[chosen].T, SCORE_DIGITS)
                 for column, question in enumerate(chosen):
-                    best = _best_rows(scores[:, column], keys[members], k)
-                    rows = pa.array(members[best])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(ids[question : question + 1], len(best))),
-                            *[batch.column(c).take(rows) for c in kept],
-                            pa.array(scores[best, column]),
-                        ],
-                        names=["query_id", *kept, "score"],
-                    )
+                    score, best = scores[:, column], state[question]
+                    # An equal score may still win by its key.
+                    if score.max() >= best.floor:
+                        best.add(rows, score, keys[members])
+        for question, best in zip(ids, state):
+            if best.rows is not None:
+                asker = pa.array(np.full(best.rows.num_rows, question))
+                yield from best.rows.add_column(0, "query_id", asker).to_batches()
 
     fields = [T.StructField("query_id", asked.attrs["query_type"])]
     fields += [T.StructField(c, collection.schema[c].dataType) for c in kept]
@@ -196,7 +222,7 @@ def nearest(
 
     ``queries`` has ``query_id``, ``vector`` and, when ``family`` names a column of
     the collection, ``family``. Each task keeps its own best ``k``, so the shuffle
-    carries at most ``k`` rows per question and batch. Questions travel in slices of
+    carries at most ``k`` rows per question and task. Questions travel in slices of
     bounded size; each slice is one pass over the collection.
     """
     columns = ["query_id", "vector", *(["family"] if family else [])]
@@ -215,7 +241,7 @@ def nearest(
         source = collection
         if family:
             source = collection.where(F.col(family).isin(*asked["family"].unique().tolist()))
-        local = _nearest_in_batches(source, asked, key, vector, family, payload, k)
+        local = _nearest_in_tasks(source, asked, key, vector, family, payload, k)
         found = local if found is None else found.unionByName(local)
     if found is None:
         raise ValueError("no question has a vector")

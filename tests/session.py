@@ -6,18 +6,18 @@ import os
 
 from pyspark.sql import SparkSession
 
+from faultline.plans.session import configured
+
 
 def make_session(partitions: int = 8, cpus: int | None = None) -> SparkSession:
     cores = cpus or os.environ.get("BENCH_CPUS", "8")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("faultline")
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    spark = configured(builder, partitions).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

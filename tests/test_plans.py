@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from faultline.operators.joins import join_pieces
 from faultline.plans import sizing
 from faultline.plans.durable import durable
 from faultline.plans.tickets import analysis_set, integrate_tickets, translated_tickets
@@ -69,3 +70,36 @@ def test_pipeline(spark):
     articles = spark.createDataFrame([("X1", "TERMOSTATOS", None)], "CODART string, DESCCAR3 string, DESCCAR2 string")
     final = analysis_set(matched, articles).first()
     assert final["text_to_analyse"] == "el equipo no enciende nunca pieza " and final["DESCCAR2"] == ""
+
+
+def test_hot_ticket_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        tickets = spark.range(1000).select(F.col("id").alias("codigo"))
+        pieces = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000).alias("codigo_incidencia"),
+            F.sha2(F.col("id").cast("string"), 256).alias("piece"),
+        )
+        joined = join_pieces(tickets, pieces)
+        joined.write.format("noop").mode("overwrite").save()
+        assert joined.count() == 60000
+        rows = joined.collect()
+        assert len({r["piece"] for r in rows}) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_slot_pivot_shuffles_once(spark):
+    text = plan(driver.queries()["slot_pivot"](spark, SF))
+    assert text.count("hashpartitioning(") == 1

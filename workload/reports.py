@@ -195,7 +195,7 @@ SELECT TicketId, 'slot_' || slot || '_' || role AS variable, value, slot, role F
 
 def slot_pivot(spark: SparkSession, d: str) -> DataFrame:
     cells = U.pivot_slots(_slot_rows(spark, d), ["TicketId", "slot"], "role", ["serial_number", "error_type"])
-    return R.with_group_size(cells, "TicketId", "total_piezas")
+    return R.with_group_size(cells, "TicketId", "total_piezas", bounded=True)
 
 
 SLOT_PIVOT = f"""

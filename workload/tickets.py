@@ -12,6 +12,7 @@ from faultline.operators import reports as R
 from faultline.operators import reshape as U
 from faultline.operators.matching import best_matches
 from faultline.plans import tickets as P
+from faultline.plans.durable import durable
 from workload.tables import CUT, STATES, TICKETS_SQL, TYPES, dimension, pieces, table, tickets
 
 
@@ -70,7 +71,7 @@ def role_playing_dims(spark: SparkSession, d: str) -> DataFrame:
             ]
         )
     )
-    codes = part.select(entry).distinct()
+    codes = durable(part.select(entry).distinct())  # joined once per role
     characteristics = codes.select(
         "NUMCAR",
         "CODCAR",
