@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from faultline.functions import vectors as N
@@ -153,6 +154,11 @@ def test_kmeans(spark):
     centres = np.array(model.clusterCenters())
     wanted = ((points - centres[rows["cluster"]]) ** 2).sum(axis=1)
     assert np.allclose(rows["distance"], wanted) and rows["cluster"].nunique() == 3
+    sparse = df.sparkSession.createDataFrame(
+        [(1, Vectors.sparse(3, {1: 2.0})), (2, Vectors.sparse(3, {})), (3, Vectors.dense([1.0, 0, 2]))], ["id", "s"]
+    )
+    for r in G.assign(model, sparse, "s", ["id", "s"]).collect():
+        assert r["distance"] == pytest.approx(((r["s"].toArray() - centres[r["cluster"]]) ** 2).sum())
     assert G.inertia(model, df, "v") == pytest.approx(wanted.sum())
     assert G.silhouette(model, df, "v").first()["silhouette"] > 0.9
     grid = G.kmeans_grid(df, "id", "v", [2, 3], seed=1)

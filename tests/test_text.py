@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from faultline.functions import text as X
@@ -6,6 +7,7 @@ from faultline.operators import corpus as K
 from faultline.operators import features as V
 from faultline.operators import language as L
 from faultline.operators import translation as T
+from faultline.operators.transformers import TfidfFeatures, TokenCleaner
 
 
 def one(spark, values, expression):
@@ -138,3 +140,25 @@ def test_word2vec(spark):
     assert {r["word"] for r in model.getVectors().collect()} == {"motor", "roto"}
     vectors = V.word2vec_vectors(model, docs, ["id"])
     assert vectors.count() == 6 and len(vectors.first()["vector"]) == 4
+
+
+def test_stages_agree_with_the_relational_weights(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "all one, aa aa b!"), (2, "ALL two aa"), (3, "all x"), (4, ""), (5, "all two")], "id int, t string"
+    )
+    cleaner = TokenCleaner(inputCol="t", outputCol="tokens", dropPunctuation=True, stopWords=["one"])
+    tfidf = TfidfFeatures(inputCol="tokens", outputCol="v", minDF=0.4, maxDF=0.6)
+    model = Pipeline(stages=[cleaner, tfidf]).fit(docs)
+    words = model.stages[1].stages[1].vocabulary
+    found = {
+        (r["id"], words[i]): w
+        for r in model.transform(docs).collect()
+        for i, w in zip(r["v"].indices.tolist(), r["v"].values)
+    }
+    vocabulary = V.fit_tfidf(docs, V.term_tokens("t"), 0.4, 0.6)
+    wanted = {(r["id"], r["term"]): r["weight"] for r in V.tfidf_weights(docs, "id", "t", vocabulary).collect()}
+    assert found == {k: pytest.approx(v) for k, v in wanted.items()}
+    cleaner.setParams(lower=False, dropPunctuation=False)
+    assert cleaner.transform(docs).first()["tokens"] == ["all", ",", "aa", "aa", "b", "!"]
+    cleaner.write().overwrite().save(str(tmp_path / "cleaner"))
+    assert TokenCleaner.load(str(tmp_path / "cleaner")).getOrDefault("stopWords") == ["one"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,8 @@ from faultline.operators import corpus as K
 from faultline.operators import features as V
 from faultline.operators import language as L
 from faultline.operators import translation as T
+from faultline.operators.clustering import variant_grid
+from faultline.operators.transformers import TfidfFeatures, TokenCleaner
 from faultline.plans.sizing import spread
 from workload.tables import table, texts
 
@@ -223,6 +226,22 @@ def encoded_documents(spark: SparkSession, d: str) -> DataFrame:
     return vectors.select("doc_id", F.size("vector").alias("width"))
 
 
+def preprocessing_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Cluster cost of TF-IDF features with and without stop words."""
+    documents = texts(spark, d, "doc_id", "text")
+
+    def features(words: tuple):
+        cleaner = TokenCleaner(
+            inputCol="text", outputCol="tokens", dropPunctuation=True, stopWords=words
+        )
+        tfidf = TfidfFeatures(inputCol="tokens", outputCol="vector")
+        model = Pipeline(stages=[cleaner, tfidf]).fit(documents)
+        return model.transform(documents).select("doc_id", "vector")
+
+    variants = {"all words": lambda: features(()), "no stop words": lambda: features(STOP_WORDS)}
+    return variant_grid(variants, "doc_id", "vector", ks=(8,), iterations=5)
+
+
 def _shouting():
     """A stand-in translator."""
     return lambda texts: [f"es: {t}" for t in texts]
@@ -270,6 +289,7 @@ QUERIES = {
     "tfidf_weights": (tfidf_weights, TFIDF_WEIGHTS),
     "term_weights": (term_weights, TERM_WEIGHTS),
     "word2vec_docs": (word2vec_docs, None),
+    "preprocessing_grid": (preprocessing_grid, None),
     "encoded_documents": (encoded_documents, None),
     "batch_translate": (batch_translate, BATCH_TRANSLATE),
     "header_rows": (header_rows, HEADER_ROWS),
