@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from faultline.functions.scalars import col
 from faultline.operators.cleaning import not_in
 from faultline.operators.reports import top_per_group
-from faultline.plans.sizing import bounded_side
+
+CHUNK = 1 << 20  # characters worked on at a time
 
 # Labels of texts without a language, and the length gate.
 TOO_SHORT, UNKNOWN = "Too short", "Error"
@@ -18,9 +21,61 @@ SHORTEST = 5
 NOT_TRANSLATED = ("es", UNKNOWN, TOO_SHORT)
 
 
-def trigrams(text: str | Column) -> Column:
-    """All overlapping trigrams of the lower-cased text, in one pass over it."""
-    return F.regexp_extract_all(F.lower(col(text)), F.lit(r"(?s)(?=(.{3}))"), F.lit(1))
+def _trigrams(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text numbers and trigrams of whole texts, in chunks of bounded size.
+
+    A trigram is one integer of three code points. A long text spans several chunks,
+    which overlap by two characters.
+    """
+    owners: list[int] = []
+    parts: list[str] = []
+    size = 0
+    for owner, text in enumerate(texts):
+        for start in range(0, len(text or "") - 2, CHUNK):
+            owners.append(owner)
+            parts.append(text[start : start + CHUNK + 2])
+            size += len(parts[-1])
+            if size >= CHUNK:
+                yield _coded(owners, parts)
+                owners, parts, size = [], [], 0
+    if parts:
+        yield _coded(owners, parts)
+
+
+def _coded(owners: list[int], parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    lengths = np.array([len(p) for p in parts])
+    ends = np.cumsum(lengths)
+    starts = np.ones(len(codes), dtype=bool)
+    starts[ends - 1] = starts[ends - 2] = False  # no trigram leaves its part
+    grams = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[starts[:-2]]
+    return np.repeat(owners, lengths)[starts], grams
+
+
+def _printed(grams: np.ndarray) -> list[str]:
+    codes = np.stack([grams >> 42, grams >> 21, grams], axis=1) & ((1 << 21) - 1)
+    text = codes.astype(np.uint32).tobytes().decode("utf-32-le")
+    return [text[i : i + 3] for i in range(0, len(text), 3)]
+
+
+def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts per language and trigram of each batch of ``(lang, text)``."""
+    for batch in batches:
+        langs, texts = batch.column(0), batch.column(1).to_pylist()
+        names, kind = np.unique(langs.to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+        seen: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in names]
+        for owners, grams in _trigrams(texts):
+            for i in range(len(names)):
+                seen[i].append(np.unique(grams[kind[owners] == i], return_counts=True))
+        for name, found in zip(names, seen):
+            if not found:
+                continue
+            grams, where = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+            counts = np.bincount(where, np.concatenate([n for _, n in found])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([str(name)] * len(grams), pa.string()), pa.array(_printed(grams), pa.string()), pa.array(counts)],
+                names=["lang", "gram", "n"],
+            )
 
 
 def language_profile(
@@ -29,17 +84,22 @@ def language_profile(
     """The ``size`` most frequent trigrams of each language with log-probabilities.
 
     One row per trigram, at most ``size * len(languages)`` rows; a language has
-    one column, smoothed by one count.
+    one column, smoothed by one count. Trigrams are counted per batch before the
+    shuffle.
     """
     counts = (
         df.where(F.col(lang).isin(*languages))
-        .select(lang, F.explode(trigrams(text)).alias("gram"))
-        .groupBy(lang, "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col(lang).alias("lang"), F.lower(text).alias("text"))
+        .mapInArrow(_count_trigrams, "lang string, gram string, n long")
+        .groupBy("lang", "gram")
+        .agg(F.sum("n").alias("n"))
     )
-    kept = top_per_group(counts, lang, [F.desc("n"), F.asc("gram")], size)
+    kept = top_per_group(counts, "lang", [F.desc("n"), F.asc("gram")], size)
     wide = kept.groupBy("gram").agg(
-        *[F.coalesce(F.max(F.when(F.col(lang) == l, F.col("n"))), F.lit(0)).alias(l) for l in languages]
+        *[
+            F.coalesce(F.max(F.when(F.col("lang") == l, F.col("n"))), F.lit(0)).alias(l)
+            for l in languages
+        ]
     )
     whole = Window.partitionBy(F.lit(0))  # bounded by the profile size
     return wide.select(
@@ -57,33 +117,44 @@ def detect_language(
     text: str,
     profile: DataFrame,
     languages: Sequence[str],
-    size: int = 1000,
     out: str = "language",
 ) -> DataFrame:
-    """Most probable language per key; short texts and texts without a known trigram are labelled.
+    """Most probable language per row; short texts and texts without a known trigram are labelled.
 
-    Trigrams meet the bounded profile by broadcast and are summed per text before
-    the shuffle, so that only one row per text moves.
+    The profile, whose size is bounded, is fitted state and travels to the tasks. Every
+    text is decided where it is, without a shuffle.
     """
-    grams = df.select(
-        *keys,
-        F.coalesce(F.length(text), F.lit(0)).alias("__length"),
-        F.explode_outer(trigrams(text)).alias("gram"),
-    )
-    sums = (
-        grams.join(bounded_side(profile, size * len(languages)), "gram", "left")
-        .groupBy(*keys, "__length")
-        .agg(*[F.sum(l).alias(f"__{l}") for l in languages])
-    )
-    best = F.array_max(
-        F.array(*[F.struct(F.col(f"__{l}").alias("score"), F.lit(l).alias("lang")) for l in languages])
-    )
-    label = (
-        F.when(F.col("__length") < SHORTEST, F.lit(TOO_SHORT))
-        .when(best["score"].isNull(), F.lit(UNKNOWN))
-        .otherwise(best["lang"])
-    )
-    return sums.select(*keys, label.alias(out))
+    model = profile.toPandas()
+    grams = [code for g in model["gram"] for _, ids in [_coded([0], [g])] for code in ids]
+    known = np.array(grams, dtype=np.int64)
+    order = np.argsort(known)
+    known = known[order]
+    names = sorted(languages, reverse=True)  # of equal scores the last name wins
+    weights = model[names].to_numpy(dtype=np.float64)[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            hits, scores = np.zeros(len(texts)), np.zeros((len(texts), len(names)))
+            for owners, ids in _trigrams(texts) if len(known) else ():
+                at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+                hit = known[at] == ids
+                owners, at = owners[hit], at[hit]
+                hits += np.bincount(owners, minlength=len(texts))
+                for i in range(len(names)):
+                    scores[:, i] += np.bincount(owners, weights[at, i], minlength=len(texts))
+            best = scores.argmax(axis=1)
+            labels = [
+                TOO_SHORT if len(t or "") < SHORTEST else names[b] if h else UNKNOWN
+                for t, h, b in zip(texts, hits, best)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(len(keys))], pa.array(labels, pa.string())],
+                names=[*keys, out],
+            )
+
+    fields = [df.schema[k] for k in keys] + [T.StructField(out, T.StringType())]
+    return df.select(*keys, F.lower(text).alias("__text")).mapInArrow(run, T.StructType(fields))
 
 
 def keep_languages(df: DataFrame, language: str, kept: Sequence[str] = ("es", "pt")) -> DataFrame:

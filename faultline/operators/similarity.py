@@ -274,7 +274,8 @@ def write_vectors(
 ) -> None:
     """Vector table: unit vectors with their payload columns, one folder per family.
 
-    Rows of a family are spread by a hash, so a large family becomes many files.
+    Adaptive execution merges the rows of small families and splits a large one, so
+    that files are of even size.
     """
-    spread = df.withColumn(vector, F.transform(unit(vector), lambda x: x.cast("float")))
-    spread.write.mode(mode).partitionBy(family).parquet(path)
+    scaled = df.withColumn(vector, F.transform(unit(vector), lambda x: x.cast("float")))
+    scaled.hint("rebalance", family).write.mode(mode).partitionBy(family).parquet(path)

@@ -24,12 +24,18 @@ def untranslated(worklist: DataFrame, cache: DataFrame | None, field: str) -> Da
 
 
 def translate_texts(
-    texts: DataFrame, field: str, make_translator: Callable[[], Translator], batch_size: int = 10
+    texts: DataFrame,
+    field: str,
+    make_translator: Callable[[], Translator],
+    batch_size: int = 10,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``(field, field_translated, error)`` for every text.
 
     The translator is made once per partition and called with ``batch_size``
-    texts; a failing batch keeps its rows, with the error and no translation.
+    texts; a failing batch keeps its rows, with the error and no translation. Calls
+    are slow for their few bytes, hence ``partitions`` (one per core by default)
+    instead of a number by size.
     """
     target = f"{field}_translated"
 
@@ -46,4 +52,7 @@ def translate_texts(
                     done, error = [None] * len(batch), str(problem)
                 yield pd.DataFrame({field: batch, target: done, "error": error})
 
-    return texts.select(field).mapInPandas(run, f"`{field}` string, `{target}` string, error string")
+    partitions = partitions or texts.sparkSession.sparkContext.defaultParallelism
+    return texts.select(field).repartition(partitions).mapInPandas(
+        run, f"`{field}` string, `{target}` string, error string"
+    )

@@ -23,13 +23,14 @@ def measured_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Share a scan of few splits among all cores before work that is heavy per row.
+def spread(scan: DataFrame, *keys: str, splits_per_core: int = 4) -> DataFrame:
+    """Share a scan of few splits evenly among all cores before work that is heavy per row.
 
-    A scan with at least one split per core is returned as it is, without a shuffle.
-    ``scan`` must not contain a shuffle of its own.
+    Few splits are often uneven, as a file is cut at its row groups only. A scan of
+    many splits per core is returned as it is, without a shuffle. ``scan`` must not
+    contain a shuffle of its own.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if scan.rdd.getNumPartitions() >= cores * splits_per_core:
         return scan
-    return scan.repartition(cores, *keys)
+    return scan.repartition(cores * splits_per_core, *keys)

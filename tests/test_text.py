@@ -59,12 +59,19 @@ def test_language(spark):
     profile = L.language_profile(spark.createDataFrame(train, "lang string, text string"), "text", "lang", languages, 200)
     texts = ["la pantalla no arranca", "the screen does not start", "l'écran ne démarre pas", "abcd", None, "12345 678", "la la"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    found = {r["id"]: r["language"] for r in L.detect_language(df, ["id"], "text", profile, languages, 200).collect()}
+    found = {r["id"]: r["language"] for r in L.detect_language(df, ["id"], "text", profile, languages).collect()}
     assert [found[i] for i in range(6)] == ["es", "en", "fr", "Too short", "Too short", "Error"]
     labelled = spark.createDataFrame([(k, v) for k, v in found.items()], "id int, language string")
     assert L.keep_languages(labelled, "language").count() == sum(v == "es" for v in found.values())
 
 
+def test_trigrams_of_long_texts(monkeypatch):
+    monkeypatch.setattr(L, "CHUNK", 10)
+    texts = ["", None, "ab", "abc", "x" * 9 + "añb𝄞c" * 7, "0123456789ab"]
+    found = [(i, g) for owners, ids in L._trigrams(texts) for i, g in zip(owners.tolist(), L._printed(ids))]
+    assert found == [(i, t[j : j + 3]) for i, t in enumerate(texts) if t for j in range(len(t) - 2)]
+
+
 def test_worklist(spark):
     df = spark.createDataFrame([("a text", "x"), ("a text", None), ("un texto", "x")], "p string, q string")
     work = L.distinct_texts(df, ["p", "q"])
@@ -83,9 +90,10 @@ def test_batches_and_errors(spark):
         return translate
 
     texts = spark.createDataFrame([(t,) for t in ["a", "b", "bad", "c"]], "t string").coalesce(1)
-    found = {r["t"]: (r["t_translated"], r["error"]) for r in T.translate_texts(texts, "t", make, 2).collect()}
-    assert found["a"] == ("<a>", None) and found["b"] == ("<b>", None)
-    assert found["bad"] == (None, "no service") and found["c"] == (None, "no service")
+    found = {r["t"]: (r["t_translated"], r["error"]) for r in T.translate_texts(texts, "t", make, 2, partitions=1).collect()}
+    lost = [t for t, (done, error) in found.items() if error == "no service" and done is None]
+    assert "bad" in lost and len(lost) == 2
+    assert all(found[t] == (f"<{t}>", None) for t in found.keys() - set(lost))
     cache = spark.createDataFrame([("a", "<a>"), ("bad", None)], "t string, t_translated string")
     work = texts.unionByName(spark.createDataFrame([("a",), (None,)], "t string"))
     assert sorted(r[0] for r in T.untranslated(work, cache, "t").collect()) == ["b", "bad", "c"]

@@ -35,7 +35,7 @@ def language_id(spark: SparkSession, d: str) -> DataFrame:
     """Language of every document, from profiles of the labelled documents."""
     documents = texts(spark, d, "doc_id", "text", "lang")
     profile = L.language_profile(documents, "text", "lang", LANGUAGES, PROFILE)
-    return L.detect_language(documents, ["doc_id"], "text", profile, LANGUAGES, PROFILE)
+    return L.detect_language(documents, ["doc_id"], "text", profile, LANGUAGES)
 
 
 _LANGUAGE_SQL = f"""
