@@ -37,6 +37,9 @@ class CsvDialect:
             "sep": self.separator,
             "header": self.header,
             "quoteAll": self.quote_all,
+            # the writer would strip blanks at the ends of a field
+            "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False,
             "quote": '"',
             "escape": '"',
             "encoding": self.encoding,

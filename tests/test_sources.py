@@ -75,7 +75,7 @@ def test_semicolon_csv(spark, tmp_path):
 
 @pytest.mark.parametrize("dialect", [S.COMMA, S.COMMA_QUOTED, S.SEMICOLON, S.NOT_SIGN])
 def test_csv_round_trip(spark, tmp_path, dialect):
-    rows = [("a,b;c", 'quo"te'), ("line\nbreak", "ñ"), (None, "x")]
+    rows = [("a,b;c", 'quo"te'), ("line\nbreak", "ñ"), (None, "x"), (" blanks ", "\\ \t"), ("a\r\nb", "c\rd")]
     path = str(tmp_path / "deep" / "out")
     S.write_csv(spark.createDataFrame(rows, "k string, v string"), path, dialect)
     assert sorted(map(tuple, S.read_text_csv(spark, path, dialect).collect()), key=str) == sorted(rows, key=str)

@@ -123,14 +123,13 @@ def _dirty(spark: SparkSession, d: str) -> DataFrame:
         ).alias("whole"),
         F.coalesce(bad, F.col("c_acctbal").cast("string")).alias("ratio"),
         F.replace(F.col("c_acctbal").cast("string"), F.lit("."), F.lit(",")).alias("comma"),
-        F.coalesce(bad, F.concat(F.lit("2024-01-"), nation.cast("string"))).alias("short_date"),
         F.coalesce(
             bad, F.concat(F.lit("2024-01-"), F.lpad(nation.cast("string"), 2, "0"))
         ).alias("changed"),
         F.coalesce(bad, F.col("c_mktsegment")).alias("label"),
         F.when(nation != 6, nation.cast("double")).alias("code"),
         F.col("c_custkey").cast("string").alias("quantity"),
-    ).drop("short_date")
+    )
 
 
 _DIRTY_SQL = """
@@ -171,7 +170,7 @@ COERCE_TYPES = f"WITH {_DIRTY_SQL} SELECT * FROM typed"
 
 
 def coercion_rejects(spark: SparkSession, d: str) -> DataFrame:
-    return R.top_rows(C.reject_counts(_dirty(spark, d), DIRTY), "rejected", "column", len(DIRTY))
+    return C.reject_counts(_dirty(spark, d), DIRTY)
 
 
 COERCION_REJECTS = f"""
