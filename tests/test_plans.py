@@ -25,6 +25,12 @@ def test_small_sides(spark):
     assert "broadcast" not in sizing.bounded_side(large, 10**9)._jdf.queryExecution().toString()
 
 
+def test_spread_shuffles_small_scans_only(spark):
+    scan = spark.read.parquet(f"{SF}/orders.parquet")
+    assert sizing.spread(scan, "o_orderkey").rdd.getNumPartitions() == 16
+    assert sizing.spread(scan, splits_per_core=0) is scan
+
+
 def test_durable_cuts_lineage(spark):
     df = durable(spark.range(10).withColumn("x", F.rand(1)))
     assert "Scan ExistingRDD" in plan(df) and df.count() == 10
