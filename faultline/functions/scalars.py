@@ -23,6 +23,10 @@ TIMESTAMP_FORMATS = (
     "yyyy-MM-dd",
 )
 
+# A decimal number; a plain cast would also take a suffix, as in the code "12D".
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,21 +38,28 @@ def without_markers(c: str | Column, markers: Sequence[str] = NULL_MARKERS) -> C
     return F.when(~c.isin(*markers), c)
 
 
+def _number(text: Column) -> Column:
+    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+    return F.coalesce(finite, F.when(text.rlike(INFINITE), text.try_cast("double")))
+
+
 def to_integer(c: str | Column) -> Column:
     """Text to long; decimals with a zero fraction count as whole, all else is null."""
     text = col(c).cast("string")
-    number = text.try_cast("double")
+    number = _number(text)
     whole = F.when(number == F.floor(number), text.try_cast("decimal(38,6)").try_cast("bigint"))
     return F.coalesce(text.try_cast("bigint"), whole)
 
 
 def to_float(c: str | Column) -> Column:
-    return col(c).cast("string").try_cast("double")
+    """Text to double; a text that is not a number is null."""
+    return _number(col(c).cast("string"))
 
 
 def to_float_comma(c: str | Column) -> Column:
     """Text with a decimal comma to double."""
-    return F.replace(col(c).cast("string"), F.lit(","), F.lit(".")).try_cast("double")
+    return _number(F.replace(col(c).cast("string"), F.lit(","), F.lit(".")))
 
 
 def to_timestamp(c: str | Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:

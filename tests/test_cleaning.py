@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from faultline.functions import scalars as S
@@ -23,6 +24,16 @@ def test_floats(spark):
     assert one(spark, ["1,5", "1.5", "x", None], S.to_float_comma) == [1.5, 1.5, None, None]
 
 
+def test_numbers_like_pandas(spark):
+    texts = [
+        "1d", "1f", "12D", "5.F", "0x1p3", "0x10", "inf", "-Infinity", "nan", "NaN", " 1 ", "1e5", "+3",
+        ".5", "5.", "1,000", "1e400", "--1", "", "1 2", "1\t", "true", "1L", "12s", "9" * 25, "-0.25e-3",
+    ]
+    wanted = pd.to_numeric(pd.Series(texts), errors="coerce")
+    found = one(spark, texts, S.to_float)
+    assert [None if pd.isna(w) else float(w) for w in wanted] == found
+
+
 def test_timestamps(spark):
     values = ["2024-05-09 10:11:12", "2024-05-09", "2024-05-09T01:02:03", "2024-13-40", "soon", None]
     found = one(spark, values, S.to_timestamp)
