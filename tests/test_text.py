@@ -41,6 +41,7 @@ def test_sentences(spark):
 def test_html(spark):
     html = "<!DOCTYPE html><p>a &lt; b&amp;amp;<br>c</p><!-- x --><script>var t='</p>';</script><style>p{}</style>&eacute;"
     assert one(spark, [html, None, "plain", "<p>open"], X.html_text("v")) == ["a < b&amp;cé", None, "plain", "open"]
+    assert X.visible_text("<p>x<![CDATA[ y ]]></p><template>no</template>z") == "x y z"
 
 
 def test_stemmer(spark):
