@@ -81,12 +81,13 @@ def html_to_text(spark: SparkSession, d: str) -> DataFrame:
     return K.html_texts(pages, "page_id", "html")
 
 
+# HTML reads these entities with or without their semicolon, as where a title was cut.
 _HTML_SQL = r"""
-replace(replace(replace(replace(
+regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   regexp_replace(regexp_replace(html,
     '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '', 'gs'),
     '<[^>]*>', '', 'g'),
-  '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')
+  '&quot;?', '"', 'g'), '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&amp;?', '&', 'g')
 """
 
 HTML_TO_TEXT = f"SELECT page_id AS doc_id, {_HTML_SQL} AS text_to_analyse FROM pages"
