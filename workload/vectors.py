@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.functions import scalars as S
 from faultline.functions import vectors as N
 from faultline.operators import clustering as G
 from faultline.operators import evaluation as E
 from faultline.operators import features as V
-from faultline.operators import joins as J
 from faultline.operators import reshape as U
 from faultline.operators import similarity as M
 from faultline.plans.durable import durable
@@ -296,7 +296,7 @@ def ticket_labels(spark: SparkSession, d: str) -> DataFrame:
         F.col("label").cast("double").cast("string").alias("ID"), "MOTIVO"
     )
     left = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("ID"))
-    keyed = names.select(J.S.key_text("ID").alias("ID"), "MOTIVO")
+    keyed = names.select(S.key_text("ID").alias("ID"), "MOTIVO")
     return left.join(bounded_side(keyed, LABELS), "ID", "left").select("vec_id", "MOTIVO")
 
 
