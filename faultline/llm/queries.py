@@ -5,15 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import byte_bpe, licenses, pii, token_store
+from faultline.llm import byte_bpe, licenses, mixing, pii, token_store, warc
 from faultline.llm.batches import documents
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select(
+        "doc.doc_id",
+        "source",
+        "lang",
+        "topic",
+        "n_tokens",
+        F.round("weight", 6).alias("weight"),
+        F.round("probability", 6).alias("probability"),
+        "drawn",
+    )
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = documents(spark, sf_dir).select("doc_id", licenses.licence_scan(F.col("text")).alias("found"))
     return found.select("doc_id", "found.*")
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_and_read(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = documents(spark, sf_dir).select("doc_id", pii.personal_data(F.col("text")).alias("found"))
     return found.select("doc_id", "found.*")
@@ -30,6 +48,6 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_license_scan, op7_pii_offsets, op8_token_store, op9_byte_bpe)
+    for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op7_pii_offsets, op8_token_store, op9_byte_bpe)
 }
 SQL: dict[str, str] = {}
