@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import byte_bpe, licenses, mixing, pii, token_store, warc
+from faultline.llm import byte_bpe, licenses, mixing, pii, token_store, toxicity, warc
 from faultline.llm.batches import documents
 
 
@@ -46,8 +46,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "coded.*")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op7_pii_offsets, op8_token_store, op9_byte_bpe)
+    for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op7_pii_offsets, op8_token_store, op9_byte_bpe, op10_toxicity)
 }
 SQL: dict[str, str] = {}
