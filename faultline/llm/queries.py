@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import byte_bpe, inner_products, licenses, mixing, multi_index, pii, token_store, toxicity, warc
+from faultline.llm import byte_bpe, inner_products, licenses, mixing, multi_index, ngram_join, pii, token_store, toxicity, warc
 from faultline.llm.batches import documents
 
 
@@ -40,6 +40,10 @@ def op5_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_products.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(documents(spark, sf_dir))
+
+
 def op7_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = documents(spark, sf_dir).select("doc_id", pii.personal_data(F.col("text")).alias("found"))
     return found.select("doc_id", "found.*")
@@ -60,6 +64,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op4_multi_index, op5_top_products, op7_pii_offsets, op8_token_store, op9_byte_bpe, op10_toxicity)
+    for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op4_multi_index, op5_top_products, op6_ngram_join, op7_pii_offsets, op8_token_store, op9_byte_bpe, op10_toxicity)
 }
 SQL: dict[str, str] = {}
