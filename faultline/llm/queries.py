@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm import byte_bpe, inner_products, licenses, mixing, multi_index, ngram_join, pii, token_store, toxicity, warc
 from faultline.llm.batches import documents
+from faultline.llm.checks import SQL as SQL
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +67,3 @@ QUERIES = {
     f.__name__: f
     for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op4_multi_index, op5_top_products, op6_ngram_join, op7_pii_offsets, op8_token_store, op9_byte_bpe, op10_toxicity)
 }
-SQL: dict[str, str] = {}
