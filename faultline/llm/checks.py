@@ -78,7 +78,7 @@ WARC_SQL = rf"""
 WITH p AS (
   SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
 d AS (
-  SELECT *, array_to_string(list_transform(range(32), i ->
+  SELECT *, array_to_string(list_transform(range(32), lambda i:
            substr('{warc.BASE32}', (CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT)
              >> CAST(15 - 5 * (i % 4) AS INTEGER)) % 32 + 1, 1)), '') AS payload_digest,
          min(page_id) OVER (PARTITION BY hex) AS original
