@@ -47,7 +47,8 @@ from faultline.plans.sizing import MAX_BROADCAST_ROWS, measured_side
 
 SHINGLE = 4
 PERCENT = 85
-SHARED_PERCENT = 6  # T grows with this share of a set
+SHARED_PERCENT = 6  # T grows with this share of a set,
+SHARED_LEAST = 24  # and small sets must share most of their grams
 RARE = 64  # lists are ordered by length up to this
 BLOCK_TEXTS = 1_024
 BLOCK_GRAMS = 1_000_000
@@ -80,13 +81,14 @@ def ceil_percent(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def shared_needed(n: int) -> int:
-    return 1 + n * SHARED_PERCENT // 100
+def shared_needed(n: int, percent: int) -> int:
+    """``T`` of a set of ``n``; it never falls as ``n`` grows."""
+    return max(1 + n * SHARED_PERCENT // 100, min(ceil_percent(n, percent), SHARED_LEAST))
 
 
 def posted(n: int, percent: int) -> int:
     """How many grams of a set of ``n`` are posted: those it may miss, and those it must share."""
-    return min(n, n - ceil_percent(n, percent) + shared_needed(n))
+    return min(n, n - ceil_percent(n, percent) + shared_needed(n, percent))
 
 
 def _sets(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
@@ -170,25 +172,36 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
-def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of all ``gram, node`` rows of a task, each node with the smallest node that grams here lead to."""
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-    if not parts:
-        return
-    gram, node = (np.concatenate(c) for c in zip(*parts, strict=True))
-    _, g = np.unique(gram, return_inverse=True)
-    nodes, v = np.unique(node, return_inverse=True)
-    root = np.arange(len(nodes))
-    while True:
-        least = np.full(g.max() + 1, len(nodes))
-        np.minimum.at(least, g, root[v])
-        new = root.copy()
-        np.minimum.at(new, v, least[g])
-        new = np.minimum(new, new[root])  # follow the pointer of the former root
-        if (new == root).all():
-            break
-        root = new
-    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["a", "b"])
+def _local_roots(percent: int):
+    """Of all ``gram, node, n`` rows of a task, each node with the smallest node that grams here lead to.
+
+    A gram joins nodes only as far as their sizes allow links: its list, by size, breaks where the next set is
+    too large for the one before.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b.column(i).to_numpy() for i in range(3)] for b in batches if b.num_rows]
+        if not parts:
+            return
+        gram, node, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((n, gram))
+        gram, node, n = gram[order], node[order], n[order]
+        group = np.cumsum((gram[1:] != gram[:-1]) | (100 * n[:-1] < percent * n[1:]))
+        group = np.append(0, group)
+        nodes, v = np.unique(node, return_inverse=True)
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        root = np.arange(len(nodes))
+        while True:
+            least = np.minimum.reduceat(root[v], starts)
+            new = root.copy()
+            np.minimum.at(new, v, least[group])
+            new = np.minimum(new, new[root])  # follow the pointer of the former root
+            if (new == root).all():
+                break
+            root = new
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["a", "b"])
+
+    return run
 
 
 class Lists:
@@ -320,12 +333,14 @@ def _clusters(nodes: DataFrame, percent: int) -> DataFrame:
     )
     # The smaller of the two partners decides how many grams they must share.
     smallest = F.ceil(F.col("n") * percent / 100).cast("long")
-    needed = F.floor(smallest * SHARED_PERCENT / 100) + 1
+    needed = F.greatest(
+        F.floor(smallest * SHARED_PERCENT / 100) + 1, F.least(F.ceil(smallest * percent / 100), F.lit(SHARED_LEAST))
+    )
     rarest = F.slice("shared", F.lit(1), (F.size("shared") - needed + 1).cast("int"))
     kept = shared.where(F.size("shared") >= needed).select("node", "n", rarest.alias("rarest"))
     kept = durable(kept)
-    lists = kept.select(F.explode("rarest.gram").alias("gram"), "node").repartition("gram")
-    edges = lists.mapInArrow(_local_roots, "a long, b long")
+    lists = kept.select(F.explode("rarest.gram").alias("gram"), "node", "n").repartition("gram")
+    edges = lists.mapInArrow(_local_roots(percent), "a long, b long")
     found = components(edges).withColumnRenamed("component", "cluster")
     return found.join(kept.groupBy("node").agg(F.max("n").alias("n")), "node")
 
