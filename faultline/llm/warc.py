@@ -30,7 +30,6 @@ from faultline.llm.skew import attach
 from faultline.plans.durable import durable, shared_path
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-FILE_BYTES = 32 << 20  # of payload in a file, before compression
 MIN_BYTES = 0
 RECORD_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -142,13 +141,11 @@ def write_archives(
     url: str = "url",
     payload: str = "html",
     min_bytes: int = MIN_BYTES,
-    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write deduplicated archives of all pages into ``folder``."""
-    size = pages.agg(F.sum(F.octet_length(payload))).first()[0] or 0
     records = resolve(pages, key, url, payload, min_bytes)
-    dealt = records.repartition(size // file_bytes + 1, F.xxhash64("page_id", "copy"))
-    dealt.select(record(dealt).alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").text(folder)
+    # Payloads move once, in the join; adaptive execution sizes its partitions, and so the files.
+    records.select(record(records).alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").text(folder)
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
