@@ -36,7 +36,7 @@ from faultline.llm.batches import kept
 NO_PAIR = np.iinfo(np.int64).max
 BATCH_WIDTHS = (4, 8, 16, 32)  # longer pieces get a tree of their own
 BATCH_CELLS = 1 << 18
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 150_000
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 # Between a character and the white space behind it, no piece of the pattern goes on.

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -44,7 +45,7 @@ SAMPLE_DOCUMENTS = 1_000
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 16 << 20
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 300_000
 LEVEL = 3
 _HEADER_BYTES = 24
 _TRAILER = "<QQQ8s"
@@ -72,27 +73,27 @@ class Tokens:
 
     def packed(self, texts: Sequence[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, little-endian."""
-        cut = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
+        cut = [self._spaced(t).replace("\n", " ").split(" ") for t in texts]
         if len(self.ids_of) > MAX_CHUNKS:
             self.ids_of.clear()
         new = list({w for words in cut for w in words}.difference(self.ids_of))
         for start in range(0, len(new), 4096):
             part = new[start : start + 4096]
-            for word, encoded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            for word, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.ids_of[word] = array(self.code, encoded.ids).tobytes()
         look_up, last = self.ids_of.__getitem__, array(self.code, [end]).tobytes()
         return [b"".join(map(look_up, words)) + last for words in cut]
 
     @staticmethod
-    def _lower(text: str) -> str:
-        """Lower-case texts of Latin-1 characters here, where it is one to one; it saves table entries."""
-        if text.isascii():
-            return text.lower()
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-        return text.lower()
+    def _spaced(text: str) -> str:
+        """Lower-case texts of Latin-1 characters here, where it is one to one, and set a comma or full stop between a
+        letter and white space apart; both leave the ids as they are and save table entries."""
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        return re.sub(r"(?<=[a-zß-öø-ÿ])([.,])(?=[ \n])", r" \1", text.lower())
 
 
 def tokens(path: str) -> Tokens:
