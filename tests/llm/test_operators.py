@@ -234,7 +234,7 @@ def test_personal_data(edge, empty):
         ("to joe [at] host (dot) org now", "email:3:26"),
         ("to joe at host dot org now", "email:3:22"),
         ("four one one one one one one one one one one one one one one one", "card:0:64"),
-        ("ip １0.0.0.1 ok", "ip:3:11"),
+        ("ip １０.0.0.1 ok", "ip:3:11"),
         ("look at me", ""),
         ("meet at the dot com shop", ""),
     ],
