@@ -66,10 +66,18 @@ def duplicate_cells(df: DataFrame, keys: Sequence[str], variable: str) -> DataFr
 def pivot_slots(
     df: DataFrame, keys: Sequence[str], variable: str, names: Sequence[str], value: str = "value"
 ) -> DataFrame:
-    """``(keys, variable, value)`` rows back to one column per known variable."""
-    return df.groupBy(*keys).agg(
-        *[F.max(F.when(F.col(variable) == name, F.col(value))).alias(name) for name in names]
-    )
+    """``(keys, variable, value)`` rows back to one column per known variable.
+
+    Two rows for one cell are an error; ``duplicate_cells`` lists them.
+    """
+
+    def cell(name: str) -> Column:
+        own = F.col(variable) == name
+        several = F.count(F.when(own, F.lit(1))) > 1
+        found = F.max(F.when(own, F.col(value)))
+        return F.when(several, F.raise_error(F.lit(f"several values of {name}"))).otherwise(found).alias(name)
+
+    return df.groupBy(*keys).agg(*[cell(name) for name in names])
 
 
 def cluster_columns(

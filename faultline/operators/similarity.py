@@ -63,7 +63,7 @@ def classify(
             raise ValueError("compat needs a catalogue that fits a broadcast")
         pairs = score_pairs(tickets.select(key, "CAR3", "CAR2", vector), catalogue, key, vector)
         winner = F.max(F.struct("score", -F.col("catalogue_pos"), "ID_ERROR"))
-        best = pairs.groupBy(key).agg(winner.alias("__b"))
+        best = pairs.where("score is not null").groupBy(key).agg(winner.alias("__b"))
         best = best.select(key, F.col("__b.ID_ERROR"), F.col("__b.score"))
         return tickets.select(key, *keep).join(best, key, "left")
 
@@ -90,7 +90,9 @@ def classify(
             e["id"].alias("id"),
         ),
     )
-    joined = joined.withColumn("__best", F.array_max(scores))
+    # A ticket or an entry without a vector has no score, and wins nothing.
+    scored = F.filter(scores, lambda s: s["score"].isNotNull())
+    joined = joined.withColumn("__best", F.array_max(scored))
     if compat:
         every = catalogue.groupBy("ID_ERROR").agg(F.min("catalogue_pos").alias("pos"))
         ids = every.agg(
@@ -244,7 +246,8 @@ def nearest(
         local = _nearest_in_tasks(source, asked, key, vector, family, payload, k)
         found = local if found is None else found.unionByName(local)
     if found is None:
-        raise ValueError("no question has a vector")
+        asker = F.lit(None).cast(queries.schema["query_id"].dataType).alias("query_id")
+        found = collection.where("1 = 0").select(asker, key, *payload, F.lit(0.0).alias("score"))
     return top_per_group(found, "query_id", [F.desc("score"), F.asc(key)], k)
 
 

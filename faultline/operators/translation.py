@@ -19,7 +19,7 @@ def untranslated(worklist: DataFrame, cache: DataFrame | None, field: str) -> Da
     texts = worklist.where(F.col(field).isNotNull()).select(field).distinct()
     if cache is None:
         return texts
-    done = cache.where(F.col(f"{field}_translated").isNotNull()).select(field)
+    done = cache.where(F.col(f"{field}_translated").isNotNull()).select(field).distinct()
     return texts.join(done, field, "left_anti")
 
 

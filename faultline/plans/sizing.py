@@ -14,8 +14,8 @@ def bounded_side(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows; stops reading once it has seen more, without a shuffle."""
+    return len(df.select(F.lit(1)).head(max_rows + 1)) <= max_rows
 
 
 def measured_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
