@@ -394,6 +394,11 @@ QUERIES = {
     "distinct_rows": (distinct_rows, DISTINCT_ROWS),
     "score_maximum": (score_maximum, SCORE_MAXIMUM),
     "top_orders": (top_orders, TOP_ORDERS),
-    "sampled_tickets": (sampled_tickets, None),
+    "sampled_tickets": (
+        sampled_tickets,
+        f"""WITH {TICKETS_SQL} SELECT * FROM tickets
+        ORDER BY md5(concat_ws('|', '7', coalesce(codigo::VARCHAR, ''), coalesce(id::VARCHAR, ''),
+          coalesce(tipo::VARCHAR, ''), coalesce(estado::VARCHAR, ''), coalesce(modification_date::VARCHAR, ''))) LIMIT 100""",
+    ),
     "translation_budget": (translation_budget, TRANSLATION_BUDGET),
 }
