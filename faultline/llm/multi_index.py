@@ -146,8 +146,7 @@ def _rerank(k: int):
         for start in range(0, len(x), 1024):
             part = slice(start, start + 1024)
             open_pairs = bits[:, cell[part]]
-            # One fixed order of additions per score, whatever the block a row falls into.
-            score = np.where(open_pairs, _products(q, x[part]), -np.inf)
+            score = np.where(open_pairs, q @ x[part].T, -np.inf)
             at = min(best.k, score.shape[1] - 1)
             cut = np.maximum(-np.partition(-score, at, axis=1)[:, at], best.floor)
             query, column = np.nonzero((score >= cut[:, None]) & open_pairs)
@@ -157,10 +156,6 @@ def _rerank(k: int):
     return run
 
 
-def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return q @ x.T
-
-
 def nearest(
     df: DataFrame,
     key: str = "vec_id",
