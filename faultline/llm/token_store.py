@@ -45,7 +45,7 @@ SAMPLE_DOCUMENTS = 1_000
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 16 << 20
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 400_000
 LEVEL = 3
 _HEADER_BYTES = 24
 _TRAILER = "<QQQ8s"
@@ -56,36 +56,79 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class WordTable(dict):
+    """A bounded table of the words seen last: when it is full it becomes the former half, and words found there move back."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.half, self.former = most // 2, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.former[word]
+        return found
+
+    def unknown(self, words: set[str]) -> list[str]:
+        if len(self) > self.half:
+            self.former = dict(self)
+            self.clear()
+        return list(words.difference(self).difference(self.former))
+
+
 class Tokens:
     """Packed ids of texts; equal words are encoded once and looked up in a bounded table.
 
     The tokenizer drops white space and never joins what it separates, so a text may be cut at blanks.
     """
 
+    PLAIN = re.compile("[a-zß-öø-ÿ]+")
+    STOP = re.compile(r"[.,](?=[ \n])(?<=[a-zß-öø-ÿ][.,])")
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.ids_of: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.code = "H" if size <= 1 << 16 else "I"
+        self.closes = np.zeros(size, bool)  # ids that end a word
+        for token, number in self.tokenizer.get_vocab().items():
+            self.closes[number] = token.endswith("</w>")
+        self.ids_of = WordTable(MAX_CHUNKS)
 
     def packed(self, texts: Sequence[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, little-endian."""
         cut = [self._spaced(t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.ids_of) > MAX_CHUNKS:
-            self.ids_of.clear()
-        new = list({w for words in cut for w in words}.difference(self.ids_of))
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
+        rest = []
+        plain = []
+        for word in self.ids_of.unknown(set().union(*cut)):
+            (plain if self.PLAIN.fullmatch(word) else rest).append(word)
+        for start in range(0, len(plain), 1024):
+            part = plain[start : start + 1024]
+            found = self._together(part)
+            if found is None:
+                rest += part
+            else:
+                self.ids_of.update(zip(part, found, strict=True))
+        for start in range(0, len(rest), 4096):
+            part = rest[start : start + 4096]
             for word, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.ids_of[word] = array(self.code, encoded.ids).tobytes()
         look_up, last = self.ids_of.__getitem__, array(self.code, [end]).tobytes()
         return [b"".join(map(look_up, words)) + last for words in cut]
 
-    @staticmethod
-    def _spaced(text: str) -> str:
+    def _together(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words of letters only, encoded as one text; null if the vocabulary does not mark where words end."""
+        encoded = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, self.code)
+        borders = ((np.flatnonzero(self.closes[ids]) + 1) * ids.itemsize).tolist()
+        if len(borders) != len(words) or borders[-1] != ids.nbytes:
+            return None
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip([0, *borders], borders)]
+
+    @classmethod
+    def _spaced(cls, text: str) -> str:
         """Lower-case texts of Latin-1 characters here, where it is one to one, and set a comma or full stop between a
         letter and white space apart; both leave the ids as they are and save table entries."""
         if not text.isascii():
@@ -93,7 +136,7 @@ class Tokens:
                 text.encode("latin-1")
             except UnicodeEncodeError:
                 return text
-        return re.sub(r"(?<=[a-zß-öø-ÿ])([.,])(?=[ \n])", r" \1", text.lower())
+        return cls.STOP.sub(r" \g<0>", text.lower())
 
 
 def tokens(path: str) -> Tokens:
