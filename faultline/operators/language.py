@@ -6,12 +6,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.operators.cleaning import not_in
 from faultline.operators.reports import top_per_group
+from faultline.plans.durable import durable
 
 CHUNK = 1 << 20  # characters worked on at a time
 
@@ -79,13 +80,12 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def language_profile(
-    df: DataFrame, text: str, lang: str, languages: Sequence[str], size: int = 1000
+    df: DataFrame, text: str, lang: str, languages: Sequence[str], size: int | None = None
 ) -> DataFrame:
-    """The ``size`` most frequent trigrams of each language with log-probabilities.
+    """Trigrams of each language with log-probabilities, of each the ``size`` most frequent ones if given.
 
-    One row per trigram, at most ``size * len(languages)`` rows; a language has
-    one column, smoothed by one count. Trigrams are counted per batch before the
-    shuffle.
+    One row per trigram, a language has one column, smoothed by one count. Trigrams are counted
+    per batch before the shuffle.
     """
     counts = (
         df.where(F.col(lang).isin(*languages))
@@ -94,18 +94,20 @@ def language_profile(
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    kept = top_per_group(counts, "lang", [F.desc("n"), F.asc("gram")], size)
+    kept = counts if size is None else top_per_group(counts, "lang", [F.desc("n"), F.asc("gram")], size)
     wide = kept.groupBy("gram").agg(
         *[
             F.coalesce(F.max(F.when(F.col("lang") == l, F.col("n"))), F.lit(0)).alias(l)
             for l in languages
         ]
     )
-    whole = Window.partitionBy(F.lit(0))  # bounded by the profile size
-    return wide.select(
+    wide = durable(wide)
+    total = wide.agg(F.struct(F.count("gram").alias("__grams"), *[F.sum(l).alias(l) for l in languages])).scalar()
+    summed = wide.withColumn("__total", total)
+    return summed.select(
         "gram",
         *[
-            F.ln((F.col(l) + 1) / (F.sum(l).over(whole) + F.count("gram").over(whole))).alias(l)
+            F.ln((F.col(l) + 1) / (F.col(f"__total.{l}") + F.col("__total.__grams"))).alias(l)
             for l in languages
         ],
     )

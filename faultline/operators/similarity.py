@@ -7,14 +7,16 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.vectors import dot, unit
 from faultline.operators.joins import applicable
 from faultline.operators.reports import top_per_group
-from faultline.plans.sizing import is_small
+from faultline.plans.durable import durable
+from faultline.plans.ordering import position
+from faultline.plans.sizing import is_small, measured_side
 
 SCORE_DIGITS = 9  # scores are rounded before ranking, so that ties do not depend on summation order
 MAX_CATALOGUE_ROWS = 10_000
@@ -53,19 +55,13 @@ def classify(
 
     A catalogue of checked size is broadcast as one row per family that holds its
     entries, so each ticket is decided in its own row without a shuffle. A larger
-    one is joined by family and reduced per ticket.
+    one is joined by family and reduced per ticket row, with the same result.
 
     ``compat`` also lets inapplicable errors compete with score 0, as a table with
     one zero-filled column per error does.
     """
     if not is_small(catalogue, MAX_CATALOGUE_ROWS):
-        if compat:
-            raise ValueError("compat needs a catalogue that fits a broadcast")
-        pairs = score_pairs(tickets.select(key, "CAR3", "CAR2", vector), catalogue, key, vector)
-        winner = F.max(F.struct("score", -F.col("catalogue_pos"), "ID_ERROR"))
-        best = pairs.where("score is not null").groupBy(key).agg(winner.alias("__b"))
-        best = best.select(key, F.col("__b.ID_ERROR"), F.col("__b.score"))
-        return tickets.select(key, *keep).join(best, key, "left")
+        return _classify_large(tickets, catalogue, key, vector, keep, compat)
 
     entry = F.struct(
         F.col("catalogue_pos").alias("pos"),
@@ -115,6 +111,46 @@ def classify(
     )
 
 
+def _classify_large(
+    tickets: DataFrame, catalogue: DataFrame, key: str, vector: str, keep: Sequence[str], compat: bool
+) -> DataFrame:
+    """``classify`` through a join; rows are told apart by a number, as keys may repeat."""
+    columns = dict.fromkeys([key, "CAR3", "CAR2", vector, *keep])
+    rows = durable(tickets.select(*columns).withColumn("__row", F.monotonically_increasing_id()))
+    pairs = score_pairs(rows, catalogue, "__row", vector).select("__row", "score", "catalogue_pos", "ID_ERROR")
+    if compat:
+        rivals = _first_inapplicable(rows, catalogue)
+        same = rows["CAR3"].eqNullSafe(rivals["__family"]) & rows["CAR2"].eqNullSafe(rivals["__system"])
+        zeros = rows.join(measured_side(rivals), same).select(
+            "__row", F.lit(0.0).alias("score"), F.col("pos").alias("catalogue_pos"), "ID_ERROR"
+        )
+        pairs = pairs.unionByName(zeros)
+    winner = F.max(F.struct("score", -F.col("catalogue_pos"), "ID_ERROR"))
+    best = pairs.where("score is not null").groupBy("__row").agg(winner.alias("__b"))
+    best = best.select("__row", F.col("__b.ID_ERROR"), F.col("__b.score"))
+    return rows.select("__row", key, *keep).join(best, "__row", "left").drop("__row")
+
+
+def _first_inapplicable(tickets: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Per family and system of the tickets, the first error that does not apply to them.
+
+    Errors are numbered in catalogue order. Those that apply are numbered again, and the
+    first of the others comes after the last of them up to which both numbers agree.
+    """
+    every = catalogue.groupBy("ID_ERROR").agg(F.min("catalogue_pos").alias("pos"))
+    every = durable(position(every, [F.col("pos"), F.col("ID_ERROR")], "__place"))
+    groups = tickets.select(F.col("CAR3").alias("__family"), F.col("CAR2").alias("__system")).distinct()
+    entries = catalogue.select("ID_ERROR", "CODCAR3", "CODCAR2")
+    own = groups.join(entries, applicable("__family", "__system", "CODCAR3", "CODCAR2"))
+    own = own.select("__family", "__system", "ID_ERROR").distinct().join(every, "ID_ERROR")
+    in_order = Window.partitionBy("__family", "__system").orderBy("__place")
+    agrees = F.count_if(F.col("__place") == F.col("__rank")).alias("__place")
+    leading = own.withColumn("__rank", F.row_number().over(in_order) - 1).groupBy("__family", "__system").agg(agrees)
+    none = groups.withColumn("__place", F.lit(0))
+    places = leading.unionByName(none).groupBy("__family", "__system").agg(F.max("__place").alias("__place"))
+    return places.join(every, "__place").select("__family", "__system", "ID_ERROR", "pos")
+
+
 def top_per_error(classified: DataFrame, n: int, key: str, error: str = "ID_ERROR") -> DataFrame:
     """The ``n`` best scored tickets of each error."""
     return top_per_group(

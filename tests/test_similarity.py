@@ -52,7 +52,18 @@ def test_classify(spark, catalogue, monkeypatch, limit):
     assert found["t5"] == ("E1", 0.0)
 
 
-def test_classify_compat(spark, catalogue):
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_classify_repeated_keys(spark, catalogue, monkeypatch, limit):
+    monkeypatch.setattr(M, "MAX_CATALOGUE_ROWS", limit)
+    rows = [("b", 1, 264, [1.0, 0.0]), ("b", 1, 262, [0.0, 1.0]), ("b", 1, 262, None), (None, 2, 0, [1.0, 0.0])]
+    tickets = spark.createDataFrame(rows, "id string, CAR3 int, CAR2 int, vector array<double>")
+    found = [tuple(r) for r in M.classify(tickets, catalogue, "id").collect()]
+    assert sorted(found, key=str) == sorted([("b", "E1", 1.0), ("b", "E2", 1.0), ("b", None, None), (None, "E3", 1.0)], key=str)
+
+
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_classify_compat(spark, catalogue, monkeypatch, limit):
+    monkeypatch.setattr(M, "MAX_CATALOGUE_ROWS", limit)
     tickets = spark.createDataFrame(TICKETS, "id string, CAR3 int, CAR2 int, vector array<double>")
     found = {r["id"]: r["ID_ERROR"] for r in M.classify(tickets, catalogue, "id", compat=True).collect()}
     assert found == {"t1": "E2", "t2": "E1", "t3": "E1", "t4": "E3", "t5": "E1", "t6": "E1"}
