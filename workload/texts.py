@@ -18,7 +18,6 @@ from faultline.plans.sizing import spread
 from workload.tables import table, texts
 
 LANGUAGES = ("de", "en", "es", "fr")
-PROFILE = 1000
 STOP_WORDS = (
     "de", "la", "que", "el", "en", "y", "a", "los", "se", "del",
     "the", "of", "and", "to", "in", "is", "le", "les", "et", "des",
@@ -34,7 +33,7 @@ def _strings(words: tuple) -> str:
 def language_id(spark: SparkSession, d: str) -> DataFrame:
     """Language of every document, from profiles of the labelled documents."""
     documents = texts(spark, d, "doc_id", "text", "lang")
-    profile = L.language_profile(documents, "text", "lang", LANGUAGES, PROFILE)
+    profile = L.language_profile(documents, "text", "lang", LANGUAGES)
     return L.detect_language(documents, ["doc_id"], "text", profile, LANGUAGES)
 
 
@@ -43,7 +42,7 @@ c AS (SELECT doc_id, lang, length(text) AS len, string_split(lower(text), '') AS
 g AS (SELECT doc_id, lang, ch[i] || ch[i + 1] || ch[i + 2] AS gram
       FROM (SELECT doc_id, lang, ch, unnest(range(1, len(ch) - 1)) AS i FROM c)),
 n AS (SELECT lang, gram, count(*) AS n FROM g WHERE lang IN ({_strings(LANGUAGES)}) GROUP BY ALL),
-k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= {PROFILE}),
+k AS (SELECT * FROM n),
 v AS (SELECT count(DISTINCT gram) AS v FROM k),
 tot AS (SELECT lang, sum(n) AS total FROM k GROUP BY lang),
 p AS (SELECT a.gram, tot.lang, ln((coalesce(k.n, 0) + 1) / (tot.total + v.v)) AS w
