@@ -70,8 +70,9 @@ _FOLDED = re.compile(
 )
 _number = "|".join(sorted({*SPELLED} - {"oh"}, key=len, reverse=True))
 _gap = r"(?:[\x20\t]{1,3}|-|,[\x20]?)"
+# Each part ends at a word border: a run must not take the head of the word behind it ("un" of "und").
 _SPELLED = re.compile(
-    rf"(?<!\w)(?:(plus|más|mas){_gap})?((?:{_number})(?:{_gap}(?:{_number}|oh|[0-9]{{1,4}}(?![0-9]))){{{MIN_SPELLED - 1},}}+)(?!\w)",
+    rf"(?<!\w)(?:(plus|más|mas){_gap})?((?:{_number})(?:{_gap}(?:{_number}|oh|[0-9]{{1,4}})(?!\w)){{{MIN_SPELLED - 1},}}+)",
     re.IGNORECASE,
 )
 _PART = re.compile(r"\w+")

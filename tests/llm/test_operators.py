@@ -244,6 +244,15 @@ def test_disguises(text, span):
     assert base == [] and pii.written(every) == span
 
 
+@pytest.mark.parametrize("behind", ["", " und frag", " until noon", " ohne", " unless", " sixteen", " ninety", " today"])
+def test_spelled_numbers_end_before_any_word(behind):
+    phones = ["plus vier neun drei null eins zwei drei vier fünf sechs", "plus four nine three oh one two three four five six"]
+    card = "four" + " one" * 15
+    for number, kind in [*((p, "phone") for p in phones), (card, "card")]:
+        base, every = pii.find_spans(f"ruf {number}{behind}")
+        assert base == [] and pii.written(every) == f"{kind}:4:{4 + len(number)}"
+
+
 def test_base_spans_stay():
     random.seed(2)
     for _ in range(2000):
