@@ -6,13 +6,21 @@ text, each keeping for every output character the source range it came from:
 1. ``fold``: look-alike letters, full-width forms and other digits become ASCII, invisible
    characters go;
 2. ``digits``: runs of at least four spelled digits (``five five five one``) become digits,
-   a spelled ``plus`` before them becomes ``+``;
-3. ``addresses``: ``name [at] host (dot) org`` and ``name at host dot org`` become an address.
+   a spelled ``plus`` before them becomes ``+``; four numbers of digits or of up to three
+   spelled digits with any dots between them (``one nine two dot 168 dot 1 dot 7``) close up;
+3. ``addresses``: names and hosts with any mix of real, bracketed and bare at and dots
+   (``name [at] host (dot) org``, ``first dot last at host dot org``) become an address.
+   ``brackets`` undoes the bracketed ones before ``digits``.
 
 The same detectors run over the rewritten text, and their spans are mapped back to code
 points of the source. A mapped span is added when the rewriting touched it and it overlaps
 no base span; base spans always stay.
 
+A bare ``at`` before a host whose dots are all real is read as prose, not as an address, when
+a word of ``_PROSE`` stands before it (``look at host.org``), the host begins with ``www.``, or
+no label behind a dot has two or more letters of one case; an article or possessive behind any
+bare ``at`` makes it prose, too.
+
 Defined cases: a null text counts as empty and has no spans; positions are code points with
 an exclusive end; equal rows give equal results; an empty table gives an empty result. All
 scans take linear time, also on one endless run of letters or digits.
@@ -79,11 +87,23 @@ _PART = re.compile(r"\w+")
 _at = r"[\x20]?(?:\[[\x20]?at[\x20]?\]|\([\x20]?at[\x20]?\)|\{[\x20]?at[\x20]?\}|<[\x20]?at[\x20]?>)[\x20]?"
 _dot = r"[\x20]?(?:\[[\x20]?(?:dot|punkt|point|punto)[\x20]?\]|\([\x20]?(?:dot|punkt|point|punto)[\x20]?\)|\{[\x20]?(?:dot|punkt|point|punto)[\x20]?\})[\x20]?"
 _BRACKETED = re.compile(rf"({_at})|({_dot})", re.IGNORECASE)
-# Bare words only count when a whole address is spelled: name at host dot domain.
-_BARE = re.compile(
-    r"(?<=[A-Za-z0-9_])[\x20](at)[\x20](?!(?:the|an?|this|that|my|your|our|his|her|their)[\x20])(?=[A-Za-z0-9-]{1,63}(?:[\x20]dot[\x20][A-Za-z0-9-]{1,63}){1,5}(?![\w]))"
-    r"|(?<=[A-Za-z0-9-])[\x20](dot)[\x20](?=[A-Za-z0-9])",
-    re.IGNORECASE,
+_AT = re.compile(
+    r"@|(?<=[A-Za-z0-9_])[\x20]at(?=[\x20](?!(?:the|an?|this|that|my|your|our|his|her|their)[\x20]))", re.IGNORECASE
+)
+_HOST = re.compile(r"[A-Za-z0-9-]++(?!\w)(?:(?:\.|[\x20]dot[\x20])[A-Za-z0-9-]++(?!\w))+", re.IGNORECASE)
+_BARE_DOT = re.compile(r"[\x20]dot[\x20]", re.IGNORECASE)
+_TOP = re.compile(r"\.(?:[a-z]{2,}|[A-Z]{2,})(?![A-Za-z0-9-])")
+# Words before "at host.org" in running text.
+_PROSE = frozenset(
+    """me you him it us them here there online live now today out up page pages site website websites article blog
+    visit visited look looks looked looking see seen read found find available hosted posted published based located
+    information details more order buy free is are was were be been and or not only also directly work works worked
+    working meet join check learn listen watch download downloaded back stay staying arrive arrived""".split()
+)
+_octet = rf"(?:[0-9]++|(?:{_number}|oh)(?:{_gap}(?:{_number}|oh)){{0,2}})(?!\w)"
+_octet_dot = r"(?:\.|[\x20](?:dot|punkt|point|punto)[\x20])"
+_SPELLED_IP = re.compile(
+    rf"(?<!\w)({_octet}){_octet_dot}({_octet}){_octet_dot}({_octet}){_octet_dot}({_octet})", re.IGNORECASE
 )
 
 
@@ -176,6 +196,24 @@ def _folded(char: str) -> str:
     return chr(ord(char) - 0xFEE0)
 
 
+def brackets(text: str) -> list[tuple[int, int, str]]:
+    return [(*m.span(), "@" if m[1] else ".") for m in _BRACKETED.finditer(text)]
+
+
+def spelled_ips(text: str) -> list[tuple[int, int, str]]:
+    edits = []
+    for match in _SPELLED_IP.finditer(text):
+        free = match.start()
+        for i, octet in enumerate(match.groups(), 1):
+            if text[free : match.start(i)] not in ("", "."):
+                edits.append((free, match.start(i), "."))
+            free = match.end(i)
+            if not octet.isdigit():
+                number = "".join(p if p.isdigit() else str(SPELLED[p]) for p in _PART.findall(octet.lower()))
+                edits.append((*match.span(i), number))
+    return edits
+
+
 def digits(text: str) -> list[tuple[int, int, str]]:
     edits = []
     for match in _SPELLED.finditer(text):
@@ -192,25 +230,45 @@ def digits(text: str) -> list[tuple[int, int, str]]:
 
 
 def addresses(text: str) -> list[tuple[int, int, str]]:
-    edits = [(*m.span(), "@" if m[1] else ".") for m in _BRACKETED.finditer(text)]
-    taken = 0
-    bare = []
-    for match in _BARE.finditer(text):
-        if match[1]:
-            bare.append((*match.span(), "@"))
-            taken = match.end()
-        elif taken and re.fullmatch(r"[A-Za-z0-9.-]*", text[taken:match.start()]):
-            bare.append((*match.span(), "."))
-            taken = match.end()
-        else:
-            taken = 0
-    return sorted(edits + bare)
+    """Bare at and dots of each address, from left to right; a name may reach back over ``name dot name``."""
+    edits, free = [], 0
+    for at in _AT.finditer(text):
+        bare = at[0] != "@"
+        host = _HOST.match(text, at.end() + bare) if at.start() > free else None
+        if not host:
+            continue
+        start, dots = _name(text, free, at.start())
+        if start == at.start():
+            continue
+        behind = [m.span() for m in _BARE_DOT.finditer(text, host.start(), host.end())]
+        if bare and not dots and not behind:
+            word, plain = text[start : at.start()].lower(), host[0].lower()
+            if word in _PROSE or plain.startswith("www.") or not _TOP.search(host[0]):
+                continue
+        edits += [(*dot, ".") for dot in dots]
+        if bare:
+            edits.append((at.start(), host.start(), "@"))
+        edits += [(*dot, ".") for dot in behind]
+        free = host.end()
+    return edits
+
+
+def _name(text: str, free: int, end: int) -> tuple[int, list[tuple[int, int]]]:
+    """Where the name before ``end`` begins, and its bare dots in order."""
+    start, dots = end, []
+    while True:
+        while start > free and text[start - 1] in _LOCAL:
+            start -= 1
+        if start == end or start - 5 <= free or text[start - 6] not in _LOCAL or not _BARE_DOT.fullmatch(text, start - 5, start):
+            return start, dots[::-1]
+        dots.append((start - 5, start))
+        start -= 5
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Spans of the rewritten text, mapped to the source, that overlap no base span."""
     new = Rewritten(text)
-    for transducer in (fold, digits, addresses):
+    for transducer in (fold, brackets, spelled_ips, digits, addresses):
         new.apply(transducer(new.text))
     if not new.touched.any() and len(new.text) == len(text):
         return []
@@ -231,8 +289,9 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
 
 
 _HINT = re.compile(
-    rf"{_FOLDED.pattern}|[\[({{<][\x20]?(?:at|dot|punkt|point|punto)\b|\bat [A-Za-z0-9-]+ dot\b"
-    rf"|(?<!\w)(?:{_number}){_gap}(?:{_number}|oh|[0-9])",
+    rf"{_FOLDED.pattern}|[\[({{<][\x20]?(?:at|dot|punkt|point|punto)\b|[\x20]dot[\x20]|[\x20]at[\x20][A-Za-z0-9-]+\."
+    rf"|(?<!\w)(?:{_number})(?:{_gap}(?:{_number}|oh|[0-9])|{_octet_dot}(?:{_number}|oh|[0-9]))"
+    rf"|(?<!\w)oh{_octet_dot}(?:{_number}|oh|[0-9])|[0-9]{_octet_dot}(?:{_number}|oh)|[0-9][\x20](?:punkt|point|punto)[\x20][0-9]",
     re.IGNORECASE,
 )
 

@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -253,6 +254,41 @@ def test_spelled_numbers_end_before_any_word(behind):
         assert base == [] and pii.written(every) == f"{kind}:4:{4 + len(number)}"
 
 
+@pytest.mark.parametrize(
+    "text, span",
+    [
+        ("to joe [at] host dot org now", "email:3:24"),
+        ("to joe@host dot org now", "email:3:19"),
+        ("to joe at host.org now", "email:3:18"),
+        ("to joe at host [dot] org now", "email:3:24"),
+        ("to john dot doe at host dot org now", "email:3:31"),
+        ("to a dot b dot c [at] mail dot host.org now", "email:3:39"),
+        ("one at host dot org, two at host dot net", "email:0:19,email:21:40"),
+        ("ip 192 dot 168 dot 1 dot 7 ok", "ip:3:26"),
+        ("ip 192.168 dot 1 [dot] 7 ok", "ip:3:24"),
+        ("ip one nine two dot one six eight dot one dot seven ok", "ip:3:51"),
+        ("ip eins neun zwei punkt 168 punkt null punkt sieben und", "ip:3:51"),
+        ("ip one nine two.168.1.oh", "ip:3:24"),
+        ("ip 1 dot 2 dot 3", ""),
+        ("ip 300 dot 2 dot 3 dot 4", ""),
+        ("look at host.org", ""),
+        ("joe at www.host.org", ""),
+        ("he left at 10.30 or 5 p.m. and ran at v1.2", ""),
+        ("the red dot on joe dot com", ""),
+    ],
+)
+def test_any_mix_of_at_and_dots(text, span):
+    base, every = pii.find_spans(text)
+    assert base == [] and pii.written(every) == span
+
+
+def test_disguises_take_linear_time():
+    for part in ("a dot ", "a at a dot ", "a at ", "a@b dot ", "x at a.", "one dot ", "one two three dot ", "1.", "1 dot ", "un "):
+        start = time.perf_counter()
+        pii.find_spans(part * (200_000 // len(part)))
+        assert time.perf_counter() - start < 20
+
+
 def test_base_spans_stay():
     random.seed(2)
     for _ in range(2000):
