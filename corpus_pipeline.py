@@ -50,8 +50,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by their calibrated probability."""
-    return mixing.mix(docs).where("drawn").select("doc.*")
+    """Documents in as many copies as their weight asks for, so that the drawn shares meet the targets."""
+    return mixing.repeated(mixing.mix(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,12 @@ the weight of each cell in turn so that the weighted tokens of every source, the
 every topic take their target shares, for ``rounds`` rounds or until no share is off by more than the tolerance. A document's probability is
 proportional to the weight of its cell, at most 1, at a level at which the expected tokens meet the budget.
 It is drawn when a hash of its id, as a number in [0, 1), is below its probability, so a repeated task draws
-the same documents.
+the same documents. The cap makes the drawn shares fall short of the targets wherever a cell has fewer
+tokens than its share of the budget.
+
+``copies`` has no cap: a document's expected copies are its weight times ``rate * all tokens / weighted tokens``,
+of which the whole part is always drawn and the rest by the same hash. Expected tokens of the copies take the
+target shares and the budget exactly.
 
 Default targets: sources in proportion to a power of their tokens (a power below 1 flattens a hot source);
 languages and topics from given tables, scaled to what is present; a value not in the table takes
@@ -153,7 +158,7 @@ def mix(
     tolerance: float = TOLERANCE,
     seed: str = SEED,
 ) -> DataFrame:
-    """All columns of ``docs`` in ``doc``, with ``n_tokens, weight, probability, drawn``.
+    """All columns of ``docs`` in ``doc``, with ``n_tokens, weight, probability, drawn, expected_copies, copies``.
 
     ``docs`` is read twice: for the cells, and for the result.
     """
@@ -165,12 +170,23 @@ def mix(
     fitted = rake(cells, targets(cells, languages, topics, other, power), rounds, tolerance)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     factor = level(fitted, rate * total, LEVEL_ROUNDS)
+    whole = fitted.agg(F.sum(F.col("weight") * F.col("tokens"))).first()[0]
+    uncapped = rate * total / whole if whole else 0.0
     weights = fitted.select(*[F.col(m).alias(f"{m}_key") for m in MARGINS], "weight")
     same_cell = [F.col(m).eqNullSafe(F.col(f"{m}_key")) for m in MARGINS]
     # Many rows share a cell, and the cells are few against the documents; adaptive execution
     # broadcasts them when they are small and splits hot cells when they are not.
     joined = counted.join(weights, same_cell, "left")
     probability = F.least(F.lit(1.0), F.coalesce(F.col("weight"), F.lit(0.0)) * F.lit(factor))
-    return joined.select(
-        "doc", "source", "lang", "topic", "n_tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), probability.alias("probability")
-    ).withColumn("drawn", uniform(F.col(f"doc.{key}"), seed) < F.col("probability"))
+    weight, draw = F.coalesce("weight", F.lit(0.0)), uniform(F.col(f"doc.{key}"), seed)
+    drawn = joined.select(
+        "doc", "source", "lang", "topic", "n_tokens", weight.alias("weight"), probability.alias("probability"),
+        (weight * F.lit(uncapped)).alias("expected_copies"),
+    ).withColumn("drawn", draw < F.col("probability"))
+    sure = F.floor("expected_copies").cast("int")
+    return drawn.withColumn("copies", sure + (draw < F.col("expected_copies") - sure).cast("int"))
+
+
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The documents of ``mix``, each as many times as its ``copies``."""
+    return mixed.where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -60,6 +60,29 @@ def test_mix_meets_targets(spark):
     assert expected == pytest.approx(0.5 * total, rel=1e-6)
 
 
+def test_copies_meet_targets(spark):
+    rows = [
+        (i, ("longer " if i % 9 == 0 else "w ") * (1 + i % 7), "en" if i % 5 else "de", f"s{(i // 3) % 10 % 4}")
+        for i in range(6000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    wanted = {"lang": {"en": 0.3, "de": 0.7}, "topic": {"short": 0.5, "long": 0.5}}
+    mixed = mixing.mix(docs, languages=wanted["lang"], topics=wanted["topic"], rate=0.6).cache()
+    total = mixed.agg(F.sum("n_tokens")).first()[0]
+    for margin, shares in wanted.items():
+        sums = mixed.groupBy(margin).agg(
+            F.sum(F.col("expected_copies") * F.col("n_tokens")), F.sum(F.col("copies") * F.col("n_tokens"))
+        )
+        for value, expected, drawn in sums.collect():
+            assert expected == pytest.approx(0.6 * shares[value] * total, rel=1e-6)
+            assert drawn == pytest.approx(expected, rel=0.05)
+    taken = mixing.repeated(mixed)
+    assert taken.columns == docs.columns
+    kept = {r[0]: r[1] for r in taken.groupBy("doc_id").count().collect()}
+    assert max(kept.values()) > 1
+    assert kept == {r["doc"]["doc_id"]: r["copies"] for r in mixed.collect() if r["copies"]}
+
+
 # 2 licences
 
 
