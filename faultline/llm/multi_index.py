@@ -3,8 +3,8 @@
 A vector is cut into two halves, and each half is quantised by a codebook of its own; the pair of codes is its cell. A query
 sorts the centroids of either half by distance (minus the inner product, as nearness is the largest inner product) and
 walks the cells by summed distance: a heap holds the next pairs, and taking pair ``(i, j)`` adds ``(i + 1, j)`` and
-``(i, j + 1)``. The walk ends when the visited cells hold a given share of all entries. Entries of visited cells are
-reranked by their exact inner product.
+``(i, j + 1)``. The walk ends when the visited cells hold a given share of all entries, and ``k + 1`` of them
+or all if fewer. Entries of visited cells are reranked by their exact inner product.
 
 The codebooks are trained on at most ``TRAIN_ROWS`` distinct vectors, chosen by a hash; all vectors are indexed. Entries are
 ordered by cell and cut into blocks of bounded size, so a full cell is split. ``VISIT`` was set by measuring recall: the test
@@ -111,10 +111,11 @@ def with_cells(every: DataFrame, books: Codebooks) -> DataFrame:
     return every.withColumn("cell", F.pandas_udf(run, "long")("v"))
 
 
-def _visits(books: Codebooks, counts: np.ndarray, visit: float, block: int):
+def _visits(books: Codebooks, counts: np.ndarray, visit: float, block: int, k: int):
     """Per query and block it must see: the query with the bits of its visited cells."""
     flat = counts.ravel()
     ends = np.cumsum(flat)
+    enough = max(visit * flat.sum(), k + 1)  # the query's own entry may be among them
     first_block, last_block = (ends - flat) // block, np.maximum(ends - 1, 0) // block
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,7 +123,7 @@ def _visits(books: Codebooks, counts: np.ndarray, visit: float, block: int):
             rows = []
             near_a, near_b = books.nearness(_matrix(batch["v"])) if len(batch) else ([], [])
             for row, a, b in zip(batch.itertuples(index=False), near_a, near_b, strict=True):
-                cells = np.array([i * len(books.b) + j for i, j in walk(a, b, counts, visit * flat.sum())])
+                cells = np.array([i * len(books.b) + j for i, j in walk(a, b, counts, enough)])
                 bits = np.zeros(len(flat), bool)
                 bits[cells] = True
                 packed = np.packbits(bits).tobytes()
@@ -187,7 +188,7 @@ def nearest(
     queries = asked.select(F.pmod(F.xxhash64("vkey"), F.lit(slices)).alias("slice"), "vkey", "v")
     # The walks take most of the time, and the queries are few against the entries.
     visits = queries.repartition(queries.sparkSession.sparkContext.defaultParallelism * 2).mapInPandas(
-        _visits(books, counts, visit, block), "slice long, block long, vkey string, v array<double>, bits binary"
+        _visits(books, counts, visit, block, k), "slice long, block long, vkey string, v array<double>, bits binary"
     )
     copies = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<long>")).alias("to")
     # New names, as both sides come from one table.

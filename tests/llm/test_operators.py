@@ -191,6 +191,15 @@ def test_full_walk_is_exact_and_half_is_near(vectors):
     assert multi_index.nearest(vectors.where("1 = 0")).collect() == []
 
 
+@pytest.mark.parametrize("n", [1, 15, 30])
+def test_small_tables_give_all_neighbours(spark, n):
+    rng = np.random.default_rng(n)
+    few = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(n, 8)))], "vec_id long, embedding array<double>")
+    found = ranked(multi_index.nearest(few))
+    wanted = {q: min(20, n - 1) for q in range(0, n, 20)}
+    assert {q: len(rows) for q, rows in found.items()} == {q: m for q, m in wanted.items() if m}
+
+
 def test_walk_is_in_order():
     rng = np.random.default_rng(1)
     a, b = rng.normal(size=6), rng.normal(size=5)
