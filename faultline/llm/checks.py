@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.llm import mixing, ngram_join, warc
+from faultline.llm import merkle, mixing, ngram_join, warc
 from faultline.llm.vector_rows import K, QUERY_STEP
 
 
@@ -123,9 +123,74 @@ reach AS (
 SELECT g.doc_id, len(g.grams)::BIGINT AS n_shingles, least(g.doc_id, coalesce(min(r.b), g.doc_id)) AS component_id
 FROM g LEFT JOIN reach r ON r.a = g.doc_id GROUP BY g.doc_id, g.grams"""
 
+
+MERKLE_LEVELS, MERKLE_TREE_LEVELS = 8, 4  # enough for 8 ** 8 rows of a language and 8 ** 4 languages
+
+
+def merkle_sql() -> str:
+    """All levels written out; levels above a tree's top repeat it."""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(field(text if f == 'text' else f) for f in merkle.FIELDS)})"
+
+    def climb(name: str, level: int, tree: str) -> str:
+        return (
+            f"{name}r{level} AS MATERIALIZED (SELECT {tree}, pos // {merkle.ARITY} AS run, any_value(n) AS n,"
+            f" list(node ORDER BY pos) AS nodes FROM {name}{level} GROUP BY ALL),"
+            f"{name}{level + 1} AS MATERIALIZED (SELECT {tree}, run AS pos, (n + {merkle.ARITY - 1}) // {merkle.ARITY} AS n,"
+            f" CASE WHEN n > 1 THEN sha256(array_to_string(nodes, '')) ELSE nodes[1] END AS node FROM {name}r{level})"
+        )
+
+    lower = f"translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}')"
+    bits = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda i: (ord(c) >> i::INTEGER) & 1)))"
+    crc = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}::BIGINT[]),
+      lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT)"""
+    steps = [
+        f"""
+leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('1' || lang, '0') AS tree, {leaf('text')} AS node,
+         CASE WHEN doc_id IS NOT NULL AND text IS NOT NULL AND {crc} % {merkle.TAMPERED} = 0 THEN {leaf(lower)}
+              ELSE {leaf('text')} END AS changed
+  FROM documents),
+l0 AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM leaves)"""
+    ]
+    steps += [climb("l", i, "tree") for i in range(MERKLE_LEVELS)]
+    steps.append(
+        f"t0 AS MATERIALIZED (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n"
+        f" FROM l{MERKLE_LEVELS})"
+    )
+    steps += [climb("t", i, "1 AS one" if not i else "one") for i in range(MERKLE_TREE_LEVELS)]
+    steps.append(
+        f"p0 AS (SELECT l0.doc_id, l0.tree, l0.node AS leaf, t0.node AS subroot, t{MERKLE_TREE_LEVELS}.node AS root, l0.pos AS place,"
+        f" t0.pos AS tree_place, changed AS fold, '' AS proof FROM l0 JOIN t0 USING (tree), t{MERKLE_TREE_LEVELS})"
+    )
+    step = 0
+    for name, count, at, on in (("l", MERKLE_LEVELS, "place", "p.tree = r.tree AND"), ("t", MERKLE_TREE_LEVELS, "tree_place", "")):
+        for level in range(count):
+            own = f"p.{at} % {merkle.ARITY} + 1"
+            before, after = f"r.nodes[1 : ({own}) - 1]", f"r.nodes[({own}) + 1 : {merkle.ARITY}]"
+            joined = [f"array_to_string({part}, '')" for part in (before, after)]
+            steps.append(
+                f"p{step + 1} AS MATERIALIZED (SELECT p.* EXCLUDE (fold, proof, {at}), p.{at} // {merkle.ARITY} AS {at},"
+                f" CASE WHEN r.n > 1 THEN sha256({joined[0]} || p.fold || {joined[1]}) ELSE p.fold END AS fold,"
+                f" CASE WHEN r.n > 1 THEN p.proof || {joined[0]} || {joined[1]} ELSE p.proof END AS proof"
+                f" FROM p{step} p JOIN {name}r{level} r ON {on} p.{at} // {merkle.ARITY} = r.run)"
+            )
+            step += 1
+    return f"""
+WITH {', '.join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified FROM p{step}"""
+
+
 SQL = {
     "op1_mix_sources": mixing_sql(),
     "op3_warc_revisits": WARC_SQL,
     "op5_top_products": PRODUCTS_SQL,
     "op6_ngram_join": NGRAM_SQL,
+    "op12_merkle_manifest": merkle_sql(),
 }

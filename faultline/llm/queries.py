@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import byte_bpe, inner_products, licenses, mixing, multi_index, ngram_join, pii, token_store, toxicity, warc
+from faultline.llm import byte_bpe, inner_products, licenses, merkle, mixing, multi_index, ngram_join, pii, token_store, toxicity, warc, whitening
 from faultline.llm.batches import documents
 from faultline.llm.checks import SQL as SQL
 
@@ -63,7 +63,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_license_scan, op3_warc_revisits, op4_multi_index, op5_top_products, op6_ngram_join, op7_pii_offsets, op8_token_store, op9_byte_bpe, op10_toxicity)
+    for f in (
+        op1_mix_sources,
+        op2_license_scan,
+        op3_warc_revisits,
+        op4_multi_index,
+        op5_top_products,
+        op6_ngram_join,
+        op7_pii_offsets,
+        op8_token_store,
+        op9_byte_bpe,
+        op10_toxicity,
+        op12_merkle_manifest,
+        op13_embedding_whitening,
+    )
 }
