@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import byte_bpe, inner_products, licenses, merkle, mixing, multi_index, ngram_join, pii, token_store, toxicity, warc, whitening
+from faultline.llm import byte_bpe, inner_products, licenses, merkle, mixing, multi_index, ngram_join, pii, quality, token_store, toxicity, warc, whitening
 from faultline.llm.batches import documents
 from faultline.llm.checks import SQL as SQL
 
@@ -63,6 +63,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
 
@@ -84,6 +88,7 @@ QUERIES = {
         op8_token_store,
         op9_byte_bpe,
         op10_toxicity,
+        op11_quality_gam,
         op12_merkle_manifest,
         op13_embedding_whitening,
     )
