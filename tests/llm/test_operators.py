@@ -241,6 +241,53 @@ def test_near_copies(spark, monkeypatch, block):
     assert found == brute_classes(rows, 4, 85)
 
 
+def brute_rows(rows, size, percent, by_id=True):
+    """Smallest id of the class of every row; rows of one id are one document if ``by_id``."""
+    numbered = brute_classes([(k, t) for k, (_, t) in enumerate(rows)], size, percent)
+    classes = [numbered[k][1] for k in range(len(rows))]
+    for _ in rows if by_id else ():
+        for (j, (a, _)), (k, (b, _)) in itertools.combinations(enumerate(rows), 2):
+            if a is not None and a == b and classes[j] != classes[k]:
+                low, high = sorted((classes[j], classes[k]))
+                classes = [low if c == high else c for c in classes]
+    least = {}
+    for (i, _), c in zip(rows, classes, strict=True):
+        if i is not None:
+            least[c] = min(i, least.get(c, i))
+    return [(i, numbered[k][0], least.get(c, i)) for k, ((i, _), c) in enumerate(zip(rows, classes, strict=True))]
+
+
+def test_rows_of_one_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join(base + ["more"]), " ".join(f"v{i}" for i in range(40)), " ".join(["x", *base])]
+    other = " ".join(f"u{i}" for i in range(30))
+    rows = [(1, texts[2]), (1, texts[0]), (3, texts[1]), (None, texts[3]), (None, other), (None, other)]
+    rows += [(5, ""), (5, texts[2]), (9, None), (9, "alone here"), (2, texts[2] + " end"), (7, texts[0])] * 2
+    schema = "doc_id long, text string, n int, row int, fp string, doc int"
+    docs = spark.createDataFrame([(*r, 1, 2, "f", 3) for r in rows], schema).repartition(4)
+    found = [tuple(r) for r in ngram_join.near_copies(docs).collect()]
+    assert sorted(found, key=str) == sorted(brute_rows(rows, 4, 85), key=str)
+    probe = spark.createDataFrame([(1, texts[2]), (1, texts[0]), (3, texts[1])], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.near_copies(probe).collect()} == {1: 1, 3: 1}
+
+
+def test_hot_grams(spark, monkeypatch):
+    """Lists longer than a map task passes on, chunks shorter than a chain, and sizes that part a chain."""
+    monkeypatch.setattr(ngram_join, "RARE", 3)
+    monkeypatch.setattr(ngram_join, "CHAIN_ROWS", 5)
+    monkeypatch.setattr(ngram_join, "POSTING_BYTES", 2_000)
+    random.seed(2)
+    shared = [f"s{i}" for i in range(30)]
+    texts = []
+    for k in range(60):
+        own = [f"o{k % 20}x{i}" for i in range(random.choice([3, 4, 5, 40, 200]))]
+        texts.append(" ".join(shared + own))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_copies(docs).collect()}
+    assert found == brute_classes(rows, 4, 85)
+
+
 def test_near_copies_edges(edge, empty):
     found = ngram_join.near_copies(edge).collect()
     assert len(found) == len(TEXTS) + 1
