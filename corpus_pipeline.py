@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import byte_bpe, mixing, ngram_join, pii, toxicity
-from faultline.plans.durable import durable, shared_path
-from faultline.plans.sizing import measured_side
+from faultline.plans.durable import shared_path
 
 # Near copies within the pipeline: five words, a similarity of 0.8 or more.
 WORDS = 5
@@ -29,17 +28,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: that of the smallest id, and one row of it."""
-    classes = durable(ngram_join.near_copies(docs, size=WORDS, percent=PERCENT))
-    copies = classes.where("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(measured_side(copies), "doc_id", "left_anti")
-    # Texts without words form no class, so rows of one id are told apart by their text as well.
-    twice = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not twice.head(1):
-        return kept
-    twice = measured_side(durable(twice))
-    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(once)
+    """One document of each class of near copies: that of the smallest id.
+
+    Rows are told apart by their own number: texts that repeat an id are no copies of each other unless they are alike, and
+    rows without an id count by their text. Texts without words all stay.
+    """
+    return ngram_join.one_of_each(docs, size=WORDS, percent=PERCENT)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
