@@ -13,8 +13,9 @@ text, each keeping for every output character the source range it came from:
    ``brackets`` undoes the bracketed ones before ``digits``.
 
 The same detectors run over the rewritten text, and their spans are mapped back to code
-points of the source. A mapped span is added when the rewriting touched it and it overlaps
-no base span; base spans always stay.
+points of the source. A mapped span is added when the rewriting touched it and every base span
+that it meets lies within it, so that the part of an address or number which was plain does not
+hide the disguised rest; base spans always stay.
 
 A bare ``at`` before a host whose dots are all real is read as prose, not as an address, when
 a word of ``_PROSE`` stands before it (``look at host.org``), the host begins with ``www.``, or
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -90,8 +92,12 @@ _BRACKETED = re.compile(rf"({_at})|({_dot})", re.IGNORECASE)
 _AT = re.compile(
     r"@|(?<=[A-Za-z0-9_])[\x20]at(?=[\x20](?!(?:the|an?|this|that|my|your|our|his|her|their)[\x20]))", re.IGNORECASE
 )
-_HOST = re.compile(r"[A-Za-z0-9-]++(?!\w)(?:(?:\.|[\x20]dot[\x20])[A-Za-z0-9-]++(?!\w))+", re.IGNORECASE)
-_BARE_DOT = re.compile(r"[\x20]dot[\x20]", re.IGNORECASE)
+# "point" is also an English word ("at some point it"), so that it counts before a few endings only.
+_bare_dot = r"[\x20](?:dot|punkt|punto|point(?=[\x20](?:fr|be|ch|ca|lu|eu|com|org|net)(?!\w)))[\x20]"
+_HOST = re.compile(rf"[A-Za-z0-9-]++(?!\w)(?:(?:\.|{_bare_dot})[A-Za-z0-9-]++(?!\w))+", re.IGNORECASE)
+_BARE_DOT = re.compile(_bare_dot, re.IGNORECASE)
+# Within a name only the word that no running text has: "en este punto ana@host.es" is no name of three parts.
+_NAME_DOT = " dot "
 _TOP = re.compile(r"\.(?:[a-z]{2,}|[A-Z]{2,})(?![A-Za-z0-9-])")
 # Words before "at host.org" in running text.
 _PROSE = frozenset(
@@ -259,14 +265,16 @@ def _name(text: str, free: int, end: int) -> tuple[int, list[tuple[int, int]]]:
     while True:
         while start > free and text[start - 1] in _LOCAL:
             start -= 1
-        if start == end or start - 5 <= free or text[start - 6] not in _LOCAL or not _BARE_DOT.fullmatch(text, start - 5, start):
+        width = len(_NAME_DOT)
+        named = text[max(start - width, 0) : start].lower() == _NAME_DOT
+        if start == end or not named or start - width <= free or text[start - width - 1] not in _LOCAL:
             return start, dots[::-1]
-        dots.append((start - 5, start))
-        start -= 5
+        dots.append((start - width, start))
+        start -= width
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
-    """Spans of the rewritten text, mapped to the source, that overlap no base span."""
+    """Spans of the rewritten text, mapped to the source: those that contain all base spans they meet, and more than one alone."""
     new = Rewritten(text)
     for transducer in (fold, brackets, spelled_ips, digits, addresses):
         new.apply(transducer(new.text))
@@ -283,13 +291,15 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         while at < len(taken) and taken[at][1] <= start:
             at += 1
         # Base spans of different kinds may nest, hence a short look ahead.
-        if not any(s < end and e > start for s, e in taken[max(0, at - len(KINDS)) : at + 2 * len(KINDS)]):
+        near = taken[max(0, at - len(KINDS)) : bisect_left(taken, (end, end))]
+        met = [(s, e) for s, e in near if s < end and e > start]
+        if all(start <= s and e <= end and (s, e) != (start, end) for s, e in met):
             kept.append(Span(span.kind, start, end))
     return kept
 
 
 _HINT = re.compile(
-    rf"{_FOLDED.pattern}|[\[({{<][\x20]?(?:at|dot|punkt|point|punto)\b|[\x20]dot[\x20]|[\x20]at[\x20][A-Za-z0-9-]+\."
+    rf"{_FOLDED.pattern}|[\[({{<][\x20]?(?:at|dot|punkt|point|punto)\b|{_bare_dot}|[\x20]at[\x20][A-Za-z0-9-]+\."
     rf"|(?<!\w)(?:{_number})(?:{_gap}(?:{_number}|oh|[0-9])|{_octet_dot}(?:{_number}|oh|[0-9]))"
     rf"|(?<!\w)oh{_octet_dot}(?:{_number}|oh|[0-9])|[0-9]{_octet_dot}(?:{_number}|oh)|[0-9][\x20](?:punkt|point|punto)[\x20][0-9]",
     re.IGNORECASE,

@@ -5,8 +5,8 @@ dictionary. Shards, and the documents in them, are in ascending order of ``doc_i
 
     header    24 bytes: magic, bytes per id, 16 bytes of the dictionary's SHA-256; then a line feed
     frames    one zstandard frame per document, each followed by a line feed
-    index     per document: id (int64), offset and length of its frame (uint64), number of ids (uint64);
-              then a line feed
+    index     per document: id (int64), offset and length of its frame (uint64), number of ids (uint64), whether it
+              has an id (uint8); then a line feed
     trailer   offset of the index, documents, bytes per document in the index, magic; then a line feed
 
 Spark's text writer lays down the bytes (a line feed closes every row), so the store can be on any
@@ -17,7 +17,8 @@ The dictionary is trained on whole id arrays of at most ``SAMPLE_DOCUMENTS`` doc
 of their id among those of at most ``SAMPLE_CHARS`` characters; it only affects sizes, never contents.
 
 Defined cases: a null text counts as empty and is stored as its end id alone; rows with one ``doc_id`` are
-all kept, in order of their ids; null ``doc_id`` is refused; an empty table gives an empty store.
+all kept, in order of a hash of their frames; documents without ``doc_id`` come first and keep none; names of special tokens
+in a text are those tokens; an empty table gives an empty store.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from faultline.llm.batches import kept, slices
 from faultline.plans.durable import durable, shared_path
 
-MAGIC = b"TKSTORE1"
+MAGIC = b"TKSTORE2"
 SAMPLE_DOCUMENTS = 1_000
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
@@ -49,7 +50,8 @@ MAX_CHUNKS = 400_000
 LEVEL = 3
 _HEADER_BYTES = 24
 _TRAILER = "<QQQ8s"
-_INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u8"), ("ids", "<u8")])
+_INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u8"), ("ids", "<u8"), ("known", "u1")])
+_NO_ID = -(1 << 63)  # stands for a null id, whose row is marked as not known
 
 
 def default_tokenizer() -> str:
@@ -88,7 +90,12 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # Names of special tokens in a text become their ids, as they do by the library's default.
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        # Found before any change of case, and parted from what surrounds them; a blank inside would forbid the cut at blanks.
+        if any(re.search(r"\s", name) for name in special):
+            raise ValueError("special tokens with white space cannot be told from words")
         size = self.tokenizer.get_vocab_size()
         self.code = "H" if size <= 1 << 16 else "I"
         self.closes = np.zeros(size, bool)  # ids that end a word
@@ -127,16 +134,17 @@ class Tokens:
         raw = ids.tobytes()
         return [raw[i:j] for i, j in zip([0, *borders], borders)]
 
-    @classmethod
-    def _spaced(cls, text: str) -> str:
+    def _spaced(self, text: str) -> str:
         """Lower-case texts of Latin-1 characters here, where it is one to one, and set a comma or full stop between a
         letter and white space apart; both leave the ids as they are and save table entries."""
+        if self.special and self.special.search(text):
+            return text
         if not text.isascii():
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:
                 return text
-        return cls.STOP.sub(r" \g<0>", text.lower())
+        return self.STOP.sub(r" \g<0>", text.lower())
 
 
 def tokens(path: str) -> Tokens:
@@ -189,7 +197,7 @@ def _shard_rows(dictionary: bytes):
     digest = hashlib.sha256(dictionary).digest()[:15]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[np.ndarray] = []
+        ids: list[pa.Array] = []
         sizes: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         width = 0
@@ -200,13 +208,16 @@ def _shard_rows(dictionary: bytes):
             if not width:
                 width = batch.column(2)[0].as_py()
                 yield _bytes([MAGIC + bytes([width]) + digest])
-            ids.append(batch.column(0).to_numpy())
+            ids.append(batch.column(0))
             counts.append(batch.column(1).to_numpy())
             sizes.append(np.array([len(f) for f in frames], np.uint64))
             yield _bytes(frames)
         if width:
             index = np.zeros(sum(map(len, ids)), _INDEX)
-            index["doc_id"], index["size"] = np.concatenate(ids), np.concatenate(sizes)
+            joined = pa.chunked_array(ids)
+            index["doc_id"] = joined.fill_null(_NO_ID).to_numpy()
+            index["known"] = joined.is_valid().to_numpy()
+            index["size"] = np.concatenate(sizes)
             index["ids"] = np.concatenate(counts)
             after = np.cumsum(index["size"] + np.uint64(1))
             index["offset"] = _HEADER_BYTES + 1 + after - index["size"] - np.uint64(1)
@@ -235,17 +246,13 @@ def write_store(
     spark.createDataFrame([(dictionary,)], "dictionary binary").write.parquet(f"{folder}/dictionary")
     # Texts are encoded once; the range borders and the order then come from the small written table.
     staged = f"{folder}/staged"
-    _encoded(df, key, text, path, end, dictionary).withColumn("size", F.length("frame")).write.option(
-        "compression", "none"
-    ).parquet(staged)
+    frames = _encoded(df, key, text, path, end, dictionary).withColumn("size", F.length("frame"))
+    frames.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "none").parquet(staged)
     frames = spark.read.parquet(staged)
-    known = frames.agg(
-        F.sum("size"), F.count(F.when(F.col("doc_id").isNull(), 1)), F.count("*")
-    ).first()
-    if known[1]:
-        raise ValueError(f"{known[1]} documents have no id")
-    shards = int(known[0] or 0) // shard_bytes + 1
-    ordered = frames.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "frame")
+    shards = int(frames.agg(F.sum("size")).first()[0] or 0) // shard_bytes + 1
+    # The digest and the row part rows of one id, which may be more than a shard takes.
+    order = ["doc_id", F.xxhash64("frame"), "row"]
+    ordered = frames.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     rows = ordered.select("doc_id", "n_ids", "width", "frame").mapInArrow(_shard_rows(dictionary), "value binary")
     rows.select(F.col("value").cast("string")).write.option("lineSep", "\n").text(f"{folder}/shards")
 
@@ -268,13 +275,14 @@ class Shard:
         self.unpack = zstandard.ZstdDecompressor(dict_data=shared).decompress
 
     def ids(self, row: int) -> np.ndarray:
-        _, offset, size, _ = self.index[row].tolist()
+        offset, size = self.index[["offset", "size"]][row].tolist()
         return np.frombuffer(self.unpack(self.content[offset : offset + size]), self.code)
 
     def rows_of(self, doc_id: int) -> range:
         """Rows of one document, by binary search."""
-        keys = self.index["doc_id"]
-        return range(int(np.searchsorted(keys, doc_id)), int(np.searchsorted(keys, doc_id, "right")))
+        first = int(np.searchsorted(self.index["known"], 1))
+        keys = self.index["doc_id"][first:]
+        return range(first + int(np.searchsorted(keys, doc_id)), first + int(np.searchsorted(keys, doc_id, "right")))
 
 
 def _dictionary(spark: SparkSession, folder: str) -> bytes:
@@ -302,7 +310,7 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([name.as_py()] * len(counts), pa.string()),
-                        pa.array(shard.index["doc_id"]),
+                        pa.array(shard.index["doc_id"], mask=shard.index["known"] == 0),
                         pa.array(np.cumsum(counts) - counts),
                         pa.array(counts),
                         pa.array(crcs, pa.int64()),

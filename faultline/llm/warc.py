@@ -11,8 +11,8 @@ through Spark's binary reader. The reader checks every response against its dige
 
 Defined cases: a null or empty payload has length 0 and the digest of no bytes, and takes part like
 any other; a null url is left out of the record; line breaks and blanks in a url are percent-encoded; rows with
-the same page id and payload: one is the response, the others are revisits of it; a null page id is
-refused; an empty table gives an empty archive.
+the same page id and payload: one is the response, the others are revisits of it; a page without an id is a response
+of its own, to which nothing refers; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -68,34 +68,47 @@ def resolve(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int =
         text.alias("payload"),
         F.octet_length(text).cast("long").alias("bytes"),
         base32_sha1(text).alias("digest"),
-        F.monotonically_increasing_id().alias("row"),
+        F.lit(0).cast("long").alias("row"),
     )
-    keys = durable(rows.where(F.col("bytes") >= min_bytes).select("page_id", "digest", "row"))
+    takes_part = (F.col("bytes") >= min_bytes) & F.col("page_id").isNotNull()
+    counts = rows.where(takes_part).groupBy("digest", "page_id").agg(F.count("*").alias("n"))
     originals = durable(
-        keys.groupBy("digest")
-        .agg(
-            F.count("*").alias("n"),
-            F.min(F.struct("page_id", "row")).alias("first"),
-            F.count(F.when(F.col("page_id").isNull(), 1)).alias("nameless"),
-        )
-        .where((F.col("n") > 1) | (F.col("nameless") > 0))
-        .select("digest", "n", F.col("first.page_id").alias("original"), F.col("first.row").alias("original_row"), "nameless")
+        counts.groupBy("digest")
+        .agg(F.sum("n").alias("n"), F.min(F.struct("page_id", F.col("n").alias("same"))).alias("first"))
+        .where("n > 1")
+        .select("digest", "n", F.col("first.page_id").alias("original"), F.col("first.same").alias("same"))
     )
-    total, nameless = keys.count(), originals.agg(F.sum("nameless")).first()[0]
-    if nameless:
-        raise ValueError(f"{nameless} pages have no id")
-    # Small payloads below the limit never refer to another page.
-    named = rows.withColumn("group", F.when(F.col("bytes") >= min_bytes, F.col("digest")))
+    if originals.where("same > 1").head(1):
+        # Rows alike in id and payload, one of which is the original: only numbers that are written down tell them apart.
+        folder = shared_path(pages.sparkSession, "numbered-pages")
+        rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+        rows = pages.sparkSession.read.parquet(folder)
+        named = F.when(takes_part, F.col("digest")).alias("digest")
+        firsts = rows.select(named, "page_id", "row").join(
+            originals.select(F.col("digest").alias("of"), "original"), (F.col("digest") == F.col("of")) & (F.col("page_id") == F.col("original"))
+        )
+        firsts = firsts.groupBy("digest").agg(F.min("row").alias("original_row"))
+        originals = durable(originals.join(firsts, "digest"))
+    else:
+        originals = originals.withColumn("original_row", F.lit(0).cast("long"))
+    total = int(originals.agg(F.sum("n")).first()[0] or 0)
+    # Small payloads, and pages without an id, never refer to another page.
+    named = rows.withColumn("group", F.when(takes_part, F.col("digest"))).withColumn("deal", F.xxhash64("page_id", "url", "row"))
     groups = originals.select(F.col("digest").alias("group"), "n", "original", "original_row")
-    joined = attach(named, groups, "group", "n", total, "row")
-    again = F.col("original_row").isNotNull() & (F.col("original_row") != F.col("row"))
+    joined = attach(named, groups, "group", "n", total, "deal")
+    is_original = (F.col("page_id") == F.col("original")) & (F.col("row") == F.col("original_row"))
+    again = F.col("original").isNotNull() & ~is_original
     return joined.select(
         "page_id",
         "url",
         F.when(again, "").otherwise(F.col("payload")).alias("payload"),
         "bytes",
         "digest",
-        F.when(again & (F.col("page_id") == F.col("original")), F.col("row")).otherwise(0).alias("copy"),
+        # Records of pages without an id are told apart by their url and digest.
+        F.when(F.col("page_id").isNull(), F.concat_ws("/", F.xxhash64("url").cast("string"), "digest"))
+        .when(again & (F.col("page_id") == F.col("original")), F.col("row").cast("string"))
+        .otherwise("0")
+        .alias("copy"),
         F.when(again, F.col("original")).alias("refers_to"),
     )
 
@@ -121,7 +134,7 @@ def record(resolved: DataFrame, date: str = RECORD_DATE) -> Column:
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", safe_url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        line("WARC-Refers-To", F.when(again, _record_id(F.col("refers_to"), F.lit(0)))),
+        line("WARC-Refers-To", F.when(again, _record_id(F.col("refers_to"), F.lit("0")))),
         line("WARC-Profile", F.when(again, PROFILE)),
         line(PAGE_FIELD, F.col("page_id").cast("string")),
         line("X-Refers-To-Page-Id", F.col("refers_to").cast("string")),
@@ -176,7 +189,8 @@ def describe(fields: dict[str, str], block: bytes) -> tuple:
         if (found, len(payload)) != (digest, length):
             raise ValueError(f"record {fields['WARC-Record-ID']} is damaged")
     refers = fields.get("X-Refers-To-Page-Id")
-    return int(fields[PAGE_FIELD]), length, digest, kind, None if refers is None else int(refers), fields.get("WARC-Target-URI")
+    page = fields.get(PAGE_FIELD)
+    return None if page is None else int(page), length, digest, kind, None if refers is None else int(refers), fields.get("WARC-Target-URI")
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:

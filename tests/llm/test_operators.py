@@ -144,6 +144,25 @@ def test_archives(spark):
     assert warc.archived_and_read(pages.where("1 = 0")).collect() == []
 
 
+def test_archives_of_pages_without_and_with_one_id(spark):
+    long = "long page " * 40_000
+    rows = [(None, "u", "x"), (None, "u", "x"), (None, None, None), (4, "u", "x"), (4, "v", "x"), (9, "u", "x")]
+    rows += [(2, "u", long), (1, "u", long), (5, "u", ""), (6, "u", None), (4, "u", "other"), (7, "u", "short")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    for taken in (pages, pages.distinct()):  # a shuffle before may deal rows out differently each time
+        found = sorted([tuple(r[:5]) for r in warc.archived_and_read(taken).collect()], key=str)
+        wanted, kept = [], taken.collect()
+        for i, _, html in kept:
+            text = html or ""
+            digest = base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+            least = min([j for j, _, h in kept if j is not None and (h or "") == text], default=None)
+            first = i is None or (i == least and (i, len(text), digest, "response", None) not in wanted)
+            wanted.append((i, len(text), digest, "response" if first else "revisit", None if first else least))
+        assert found == sorted(wanted, key=str)
+    small = warc.archived_and_read(pages, min_bytes=6).where("payload_bytes < 6")
+    assert {r["record_type"] for r in small.collect()} == {"response"}
+
+
 # 4 and 5 vectors
 
 
@@ -324,6 +343,60 @@ def test_disguises(text, span):
     assert base == [] and pii.written(every) == span
 
 
+@pytest.mark.parametrize(
+    "text, base, spans",
+    [
+        ("to jоhn@host.org now", "email:5:16", "email:3:16,email:5:16"),
+        ("john dot doe@host.org", "email:9:21", "email:0:21,email:9:21"),
+        ("192.168.1.1０", "ip:0:11", "ip:0:11,ip:0:12"),
+        ("joe at host punkt de", "", "email:0:20"),
+        ("ana at correo punto es", "", "email:0:22"),
+        ("luc at hote point fr", "", "email:0:20"),
+        ("en este punto luc@hote.fr", "email:14:25", "email:14:25"),
+        ("look at some point in time", "", ""),
+        ("at one point it rained", "", ""),
+    ],
+)
+def test_disguises_around_base_spans(text, base, spans):
+    found, every = pii.find_spans(text)
+    assert (pii.written(found), pii.written(every)) == (base, spans)
+
+
+def test_masks_cover_what_surrounds_a_base_span():
+    text = "to jоhn@host.org or john dot doe@host.org, 192.168.1.1０"
+    assert pii.mask(text, pii.find_spans(text)[1]) == "to [EMAIL] or [EMAIL], [IP]"
+
+
+BASE_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def test_base_spans_match_the_patterns():
+    def fits(kind, match):
+        digits = re.sub("[^0-9]", "", match)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in match.split("."))
+        if kind == "phone":
+            return 9 <= len(digits) <= 15
+        return kind == "email" or (12 <= len(digits) <= 19 and pii.luhn(digits))
+
+    random.seed(8)
+    signs = ["a", "Z", "é", ".", "@", "-", " ", "+", "4111 1111 1111 1111", "1", "0", "25", "255.", "(", ")", "x.org", "٣", "\n"]
+    for _ in range(4000):
+        text = "".join(random.choice(signs) for _ in range(random.randrange(1, 25)))
+        wanted = [
+            (m.start(), kind, m.end()) for kind, p in BASE_PATTERNS.items() for m in re.finditer(p, text) if fits(kind, m[0])
+        ]
+        wanted.sort(key=lambda s: (s[0], list(BASE_PATTERNS).index(s[1])))
+        base, every = pii.find_spans(text)
+        assert [(s.start, s.kind, s.end) for s in base] == wanted
+        assert set(base) <= set(every)
+
+
 @pytest.mark.parametrize("behind", ["", " und frag", " until noon", " ohne", " unless", " sixteen", " ninety", " today"])
 def test_spelled_numbers_end_before_any_word(behind):
     phones = ["plus vier neun drei null eins zwei drei vier fünf sechs", "plus four nine three oh one two three four five six"]
@@ -390,11 +463,37 @@ def test_token_store(spark, edge, empty):
     assert token_store.stored_and_read(empty).collect() == []
 
 
+def test_store_of_rows_without_and_with_one_id(spark):
+    texts = [(None, "no id"), (None, "no id"), (None, "<|endoftext|>"), (-(1 << 63), "least id")] + [(5, f"text {i}") for i in range(80)]
+    docs = spark.createDataFrame(texts + [(9, None)], "doc_id long, text string").repartition(3)
+    from faultline.plans.durable import shared_path
+
+    folder = shared_path(spark, "store")
+    token_store.write_store(docs, folder, shard_bytes=300)
+    found = token_store.read_store(spark, folder).collect()
+    tokenizer = Tokenizer.from_file(token_store.default_tokenizer())
+    wanted = {}
+    for i, t in docs.collect():
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+        wanted.setdefault(i, []).append((len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+    got = {}
+    for r in sorted(found, key=lambda r: r["start"]):
+        got.setdefault(r["doc_id"], []).append((r["n_tokens"], r["ids_crc32"]))
+    assert list(got) == [None, -(1 << 63), 5, 9]
+    assert {i: sorted(v) for i, v in got.items()} == {i: sorted(v) for i, v in wanted.items()}
+    starts = sorted((r["start"], r["n_tokens"]) for r in found)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    # One id fills several shards.
+    assert len(spark.read.format("binaryFile").load(f"{folder}/shards").where("length > 0").collect()) > 3
+    assert len(token_store.read_documents(spark, folder, [5]).collect()) == 80
+    assert len(token_store.read_documents(spark, folder, [-(1 << 63)]).collect()) == 1
+
+
 def test_words_may_be_encoded_alone():
     tokenizer = Tokenizer.from_file(token_store.default_tokenizer())
     own = token_store.Tokens(token_store.default_tokenizer())
     random.seed(4)
-    parts = ["Ab", "é", "É,", " ", "\n", ". ", ",\n", "'s ", "...", "12", "漢", "İ", "Σ ", "\t", "!. "]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "Ab", "é", "É,", " ", "\n", ". ", ",\n", "'s ", "...", "12", "漢", "İ", "Σ ", "\t", "!. "]
     for _ in range(500):
         text = "".join(random.choice(parts) for _ in range(30))
         ids = np.frombuffer(own.packed([text], 2)[0], np.uint16).tolist()
