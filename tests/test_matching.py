@@ -70,7 +70,7 @@ def random_texts(rng, n):
     def text():
         t = " ".join(rng.choices(words, k=rng.randint(1, 4)))
         for _ in range(rng.randint(0, 2)):
-            at = rng.randrange(len(t))
+            at = rng.randrange(max(len(t), 1))
             t = t[:at] + rng.choice(["", "a", " ", "-"]) + t[at + 1 :]
         return t
 

@@ -10,6 +10,7 @@ from faultline.operators import cleaning as C
 from faultline.operators import joins as J
 from faultline.operators import reports as R
 from faultline.operators import reshape as U
+from faultline.operators.fuzzy_join import matches_from
 from faultline.operators.matching import best_matches
 from faultline.plans import tickets as P
 from faultline.plans.durable import durable
@@ -463,8 +464,8 @@ WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL
 """
 
 
-def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
-    """Article texts typed with defects, matched against the catalogue of article texts."""
+def _typed_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Article texts typed with defects, and the catalogue of article texts."""
     part = table(spark, d, "part").withColumn(
         "full_name", F.concat_ws(" ", "p_brand", "p_type", "p_name")
     )
@@ -479,7 +480,69 @@ def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
         .when(size < 40, F.concat("full_name", F.lit("s")))
         .otherwise(F.concat_ws(" ", "p_type", F.reverse("p_name")))
     )
-    return best_matches(part.select(typed.alias("cod_articulo")), catalogue)
+    return part.select(typed.alias("cod_articulo")), catalogue
+
+
+def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
+    """The best entry of every typed text, however low its score."""
+    return best_matches(*_typed_parts(spark, d))
+
+
+def fuzzy_match_join(spark: SparkSession, d: str) -> DataFrame:
+    """The best entry of the typed texts that reach the score asked of a sure article."""
+    return matches_from(*_typed_parts(spark, d), threshold=85)
+
+
+# Every pair of texts is scored. The subsequence of a pair whose common characters could do is found bit by bit: in v, the
+# zeros left after all characters of one text are its length.
+FUZZY_MATCH_JOIN = r"""
+WITH parts AS (SELECT *, p_brand || ' ' || p_type || ' ' || p_name AS full_name FROM part),
+typed AS (
+  SELECT DISTINCT CASE WHEN p_size < 10 THEN upper(replace(full_name, ' ', '-'))
+    WHEN p_size < 20 THEN substr(full_name, 1, 2) || substr(full_name, 4)
+    WHEN p_size < 30 THEN p_name || ' ' || p_brand || ' ' || p_type
+    WHEN p_size < 40 THEN full_name || 's'
+    ELSE p_type || ' ' || reverse(p_name) END AS cod_articulo FROM parts),
+cat AS (SELECT full_name AS entry, min(p_partkey) AS pos FROM parts GROUP BY ALL),
+words AS (
+  SELECT x, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(x), '[^\p{L}\p{N}_]+'), lambda t: t <> ''))) AS tokens
+  FROM (SELECT cod_articulo AS x FROM typed UNION SELECT entry FROM cat)),
+sized AS (
+  SELECT x, tokens, array_to_string(tokens, ' ') AS text, length(array_to_string(tokens, ' ')) AS n,
+         list_transform(string_split(' 0123456789abcdefghijklmnopqrstuvwxyz', ''),
+           lambda c: length(array_to_string(tokens, ' ')) - length(replace(array_to_string(tokens, ' '), c, ''))) AS held
+  FROM words),
+a AS (SELECT DISTINCT tokens, text, n, held FROM typed JOIN sized ON cod_articulo = x),
+e AS (SELECT tokens, text, n, held, min(pos) AS pos, arg_min(entry, pos) AS entry FROM cat JOIN sized ON entry = x GROUP BY ALL),
+scored AS (
+  SELECT a.text AS a, a.tokens AS ta, e.tokens AS te, a.n AS na, e.n AS ne, a.held AS ha, e.held AS he, pos, entry,
+         list_sort(list_intersect(a.tokens, e.tokens)) AS shared
+  FROM a JOIN e ON len(list_intersect(a.tokens, e.tokens)) > 0
+    OR 200.0 * least(a.n, e.n) / (a.n + e.n) >= 84.5),
+ruled AS (
+  SELECT *, CASE WHEN len(shared) = 0 THEN 0.0 WHEN len(shared) IN (len(ta), len(te)) THEN 100.0
+    ELSE 200.0 * length(array_to_string(shared, ' ')) / (length(array_to_string(shared, ' ')) + least(na, ne)) END AS score
+  FROM scored),
+near AS (
+  SELECT a, pos, entry, na + ne AS total,
+         string_split(array_to_string(list_concat(shared, list_filter(ta, lambda t: NOT list_contains(shared, t))), ' '), '') AS x,
+         string_split(array_to_string(list_concat(shared, list_filter(te, lambda t: NOT list_contains(shared, t))), ' '), '') AS y
+  FROM ruled WHERE score < 100 AND a NOT IN (SELECT a FROM ruled WHERE score = 100)
+    AND 200.0 * least(na, ne) / (na + ne) >= 84.5
+    AND 200.0 * list_sum(list_transform(list_zip(ha, he), lambda p: least(p[1], p[2]))) / (na + ne) >= 84.5),
+subsequence AS (
+  SELECT a, pos, entry, 200.0 * (len(y) - bit_count(list_reduce(
+    list_prepend((1::HUGEINT << len(y)::HUGEINT) - 1, list_transform(x, lambda c: list_sum(list_transform(range(len(y)),
+      lambda j: CASE WHEN y[j + 1] = c THEN 1::HUGEINT << j::HUGEINT ELSE 0::HUGEINT END))::HUGEINT)),
+    lambda v, m: ((v + (v & m)) | (v - (v & m))) & ((1::HUGEINT << len(y)::HUGEINT) - 1)))) / total AS score
+  FROM near),
+best AS (
+  SELECT a, arg_max(entry, (score, -pos)) AS entry, max(score) AS score FROM (
+    SELECT a, pos, entry, score FROM ruled WHERE score >= 84.5
+    UNION ALL SELECT a, pos, entry, score FROM subsequence WHERE score >= 84.5) GROUP BY a)
+SELECT cod_articulo, best.entry AS CODART_A3, CAST(round_even(best.score, 0) AS INTEGER) AS Fuzzy_Score
+FROM typed JOIN sized ON cod_articulo = x JOIN best ON a = text WHERE round_even(best.score, 0) >= 85
+"""
 
 
 QUERIES = {
@@ -500,4 +563,5 @@ QUERIES = {
     "temporal_split": (temporal_split, TEMPORAL_SPLIT),
     "catalogue_gaps": (catalogue_gaps, CATALOGUE_GAPS),
     "fuzzy_best_match": (fuzzy_best_match, None),
+    "fuzzy_match_join": (fuzzy_match_join, FUZZY_MATCH_JOIN),
 }
