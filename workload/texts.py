@@ -12,7 +12,7 @@ from faultline.operators import corpus as K
 from faultline.operators import features as V
 from faultline.operators import language as L
 from faultline.operators import translation as T
-from faultline.operators.clustering import variant_grid
+from faultline.operators.grid_search import DistanceKMeans, Search, grid_search
 from faultline.operators.transformers import TfidfFeatures, TokenCleaner
 from faultline.plans.sizing import spread
 from workload.tables import table, texts
@@ -207,14 +207,11 @@ TERM_WEIGHTS = f"WITH {_TFIDF_SQL} SELECT term, round(sum(weight), 6) AS weight
 
 
 def word2vec_docs(spark: SparkSession, d: str) -> DataFrame:
-    """Document vectors of a small word-vector model."""
-    documents = texts(spark, d, "doc_id", "text").select(
-        "doc_id", V.term_tokens("text").alias("tokens")
-    )
-    model = V.fit_word2vec(documents, "tokens", size=16, min_count=5, epochs=1, seed=1)
-    return V.word2vec_vectors(model, documents, ["doc_id"]).select(
-        "doc_id", F.size("vector").alias("width")
-    )
+    """Document vectors of a word-vector model with the settings of the defect texts: 100 numbers, 20 rounds, words seen twice."""
+    documents = texts(spark, d, "doc_id", "text").select("doc_id", V.term_tokens("text").alias("tokens"))
+    model = V.fit_word2vec(documents, "tokens", size=100, min_count=2, epochs=20, seed=1)
+    vectors = V.word2vec_vectors(model, documents, ["doc_id"])
+    return vectors.select("doc_id", F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("vector"))
 
 
 def encoded_documents(spark: SparkSession, d: str) -> DataFrame:
@@ -223,23 +220,28 @@ def encoded_documents(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", V.term_tokens("text").alias("tokens")
     )
     vectors = V.hashed_vectors(documents, "tokens", ["doc_id"], width=64)
-    return vectors.select("doc_id", F.size("vector").alias("width"))
+    return vectors.select("doc_id", F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("vector"))
 
 
-def preprocessing_grid(spark: SparkSession, d: str) -> DataFrame:
-    """Cluster cost of TF-IDF features with and without stop words."""
-    documents = texts(spark, d, "doc_id", "text")
+PUNCTUATION, STOPPED, CLUSTERS = (0, "dropPunctuation"), (0, "stopWords"), (2, "k")
+
 
-    def features(words: tuple):
-        cleaner = TokenCleaner(
-            inputCol="text", outputCol="tokens", dropPunctuation=True, stopWords=words
-        )
-        tfidf = TfidfFeatures(inputCol="tokens", outputCol="vector")
-        model = Pipeline(stages=[cleaner, tfidf]).fit(documents)
-        return model.transform(documents).select("doc_id", "vector")
+def _grid(spark: SparkSession, d: str) -> Search:
+    """With and without punctuation and stop words, features fitted inside the folds, 250 clusters."""
+    cleaner = TokenCleaner(inputCol="text", outputCol="tokens")
+    tfidf = TfidfFeatures(inputCol="tokens", outputCol="vector")
+    pipeline = Pipeline(stages=[cleaner, tfidf, DistanceKMeans(seed=0, maxIter=20)])
+    values = {STOPPED: [list(STOP_WORDS), []], PUNCTUATION: [True, False], CLUSTERS: [250]}
+    names = {STOPPED: "stop_words", PUNCTUATION: "drop_punctuation", CLUSTERS: "k"}
+    return grid_search(texts(spark, d, "doc_id", "text"), "doc_id", pipeline, values, names)
 
-    variants = {"all words": lambda: features(()), "no stop words": lambda: features(STOP_WORDS)}
-    return variant_grid(variants, "doc_id", "vector", ks=(8,), iterations=5)
+
+def preprocessing_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with their cluster by the best of all variants, and that variant's parameters."""
+    search = _grid(spark, d)
+    best = {n: " ".join(v) if isinstance(v, list) else v for n, v in search.best.items()}
+    placed = search.clustered(texts(spark, d, "doc_id", "text")).select("doc_id", "cluster", F.round("distance", 6).alias("distance"))
+    return placed.select("*", *[F.lit(v).alias(n) for n, v in best.items()])
 
 
 def _shouting():
