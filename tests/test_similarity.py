@@ -92,6 +92,9 @@ def vectors(spark, n=400):
 @pytest.mark.parametrize("limit", [5_000, 3])
 def test_nearest_against_numpy(spark, monkeypatch, limit):
     monkeypatch.setattr(M, "MAX_QUERY_ROWS", limit)
+    monkeypatch.setattr(M, "QUESTION_BLOCK", 3)
+    monkeypatch.setattr(M, "QUESTION_CHUNK", 2)
+    monkeypatch.setattr(M, "ROW_BLOCK", 50)
     data, collection = vectors(spark)
     queries = [(i, f"f{i % 4}", data[i].tolist()) for i in range(8)]
     asked = spark.createDataFrame(queries, "query_id int, family string, vector array<double>")
@@ -120,6 +123,19 @@ def test_search_limits_before_grouping(spark):
     assert found == {(1, "many"): 1.0, (3, "other"): 1.0}
 
 
+def test_many_questions_read_their_families_only(spark, monkeypatch, tmp_path):
+    _, collection = vectors(spark, 60)
+    M.write_vectors(collection.where("embedding IS NOT NULL"), str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    asked = spark.createDataFrame([(i, "f1", [float(i), 1.0, 0.0, 0.5, 2.0]) for i in range(6)], "query_id int, family string, vector array<double>")
+    few = sorted(M.nearest(stored, asked, 3, "id", "embedding", "family", ["error"]).collect())
+    monkeypatch.setattr(M, "MAX_QUERY_ROWS", 2)
+    found = M.nearest(stored, asked, 3, "id", "embedding", "family", ["error"])
+    assert sorted(found.collect()) == few and len(few) == 18
+    plan = found._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan and "CartesianProduct" not in plan
+
+
 def test_vector_table(spark, tmp_path):
     _, collection = vectors(spark, 30)
     M.write_vectors(collection.where("embedding IS NOT NULL"), str(tmp_path / "v"))

@@ -91,16 +91,19 @@ def vector_table_search(spark: SparkSession, d: str) -> DataFrame:
         F.col("label").alias("query_id"), F.col("CODCAR3").alias("family"), "vector"
     )
     hits = M.nearest(spark.read.parquet(path), asked, 20, "vec_id", "embedding", "family", ["error"])
-    # Stored vectors are rounded to single precision, which may swap near ties.
-    return _six(hits).withColumn("score", F.round("score", 4)).select("query_id", "rank", "score")
+    return _six(hits).select("query_id", "rank", "vec_id", "error", "score")
 
 
+# Stored vectors are unit vectors of single precision.
 VECTOR_TABLE_SEARCH = f"""
 WITH {_CATALOGUE_SQL},
-s AS (SELECT c.label AS query_id, list_cosine_similarity(t.vector, c.vector) AS score
-      FROM tickets t JOIN catalogue c ON t.CAR3 = c.CODCAR3 WHERE c.CODCAR3 = 1),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS INTEGER) AS rank FROM s)
-SELECT query_id, rank, round(score, 4) AS score FROM r WHERE rank <= 20
+stored AS (
+  SELECT vec_id, label, CAR3, list_transform(vector, lambda x: CAST(x / sqrt(list_dot_product(vector, vector)) AS FLOAT))::DOUBLE[] AS v
+  FROM tickets),
+s AS (SELECT c.label AS query_id, vec_id, t.label AS error, round(list_cosine_similarity(t.v, c.vector), 9) AS score
+      FROM stored t JOIN catalogue c ON t.CAR3 = c.CODCAR3 WHERE c.CODCAR3 = 1),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, error, round(score, 6) AS score FROM r WHERE rank <= 20
 """
 
 QUERIES = {
