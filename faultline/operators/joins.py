@@ -88,22 +88,46 @@ def role_lookups(
     return result
 
 
+def _fingerprint(text: str | Column) -> list[Column]:
+    """128 bits of a text as two numbers, null for a null text. Texts of one fingerprint are still compared."""
+    text = S.col(text)
+    return [F.when(text.isNotNull(), F.xxhash64(F.lit(seed), text)) for seed in (0, 1)]
+
+
 def translation_map(translations: DataFrame, field: str) -> DataFrame:
-    """One translation per text: repeated headers dropped, the first in text order kept."""
+    """One translation per text: repeated headers dropped, the first in text order kept.
+
+    Rows are grouped by fingerprint, so no text is a sort key; the few distinct translations of a text are compared
+    inside its group.
+    """
     target = f"{field}_translated"
-    return (
-        translations.where(~F.coalesce(F.col(target) == target, F.lit(False)))
-        .groupBy(field)
-        .agg(F.min(target).alias(target))
-    )
+    known = translations.where(~F.coalesce(F.col(target) == target, F.lit(False)) & F.col(field).isNotNull())
+    first, second = _fingerprint(field)
+    pair = F.struct(F.col(field).alias("text"), F.col(target).alias("target"))
+    groups = known.groupBy(first.alias("__k"), second.alias("__l")).agg(F.collect_set(pair).alias("__pairs"))
+    # One group holds one text, but for a collision: then each of its texts has a row of its own.
+    texts = F.array_distinct(F.col("__pairs.text"))
+    split = groups.select("__k", "__l", "__pairs", F.explode(texts).alias(field))
+    own = F.filter("__pairs", lambda p: p["text"] == F.col(field))
+    return split.select("__k", "__l", field, F.array_min(F.transform(own, lambda p: p["target"])).alias(target))
 
 
 def with_translation(df: DataFrame, translations: DataFrame, field: str) -> DataFrame:
     """Add ``<field>_translated``: the translation if known, else the text itself."""
+    joined = _translated(df, translations, field)
     target = f"{field}_translated"
-    return df.join(translation_map(translations, field), field, "left").withColumn(
-        target, F.coalesce(F.col(target), F.col(field))
-    )
+    return joined.withColumn(target, F.coalesce(F.col(target), F.col(field)))
+
+
+def _translated(df: DataFrame, translations: DataFrame, field: str) -> DataFrame:
+    """``df`` with the translation known for its text: joined by fingerprint, the text compared for the rest."""
+    first, second = _fingerprint(field)
+    mapped = translation_map(translations, field).withColumnsRenamed({"__k": "__m", "__l": "__n", field: "__text"})
+    keyed = df.withColumn("__k", first).withColumn("__l", second)
+    # As a range the comparison stays a condition; an equality would become one more sort key.
+    alike = F.col(field).between(F.col("__text"), F.col("__text"))
+    same = (F.col("__k") == F.col("__m")) & (F.col("__l") == F.col("__n")) & alike
+    return keyed.join(mapped, same, "left").drop("__k", "__l", "__m", "__n", "__text")
 
 
 def with_translations(
@@ -120,7 +144,7 @@ def worklist_translation(
 ) -> DataFrame:
     """Two-step variant: complete the work-list first, then map the facts through it."""
     completed = with_translation(worklist.select(field).distinct(), translations, field)
-    return df.join(completed, field, "left")
+    return _translated(df, completed, field)
 
 
 def with_cached_match(

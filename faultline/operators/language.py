@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 from faultline.operators.cleaning import not_in
 from faultline.operators.reports import top_per_group
 from faultline.plans.durable import durable
+from faultline.plans.sizing import is_small
 
 CHUNK = 1 << 20  # characters worked on at a time
 
 # Labels of texts without a language, and the length gate.
 TOO_SHORT, UNKNOWN = "Too short", "Error"
 SHORTEST = 5
+MAX_PROFILE_ROWS = 1_000_000
 NOT_TRANSLATED = ("es", UNKNOWN, TOO_SHORT)
 
 
@@ -123,10 +125,12 @@ def detect_language(
 ) -> DataFrame:
     """Most probable language per row; short texts and texts without a known trigram are labelled.
 
-    The profile, whose size is bounded, is fitted state and travels to the tasks. Every
-    text is decided where it is, without a shuffle.
+    A profile of checked rows travels to the tasks, and every text is decided where it is, without a shuffle. A larger one is
+    joined by trigram with those counted inside each text, with the same result.
     """
-    model = profile.toPandas()
+    if not is_small(profile, MAX_PROFILE_ROWS):
+        return _detect_by_join(df, keys, text, profile, languages, out)
+    model = profile.toPandas()  # at most MAX_PROFILE_ROWS rows
     grams = [code for g in model["gram"] for _, ids in [_coded([0], [g])] for code in ids]
     known = np.array(grams, dtype=np.int64)
     order = np.argsort(known)
@@ -159,6 +163,26 @@ def detect_language(
     return df.select(*keys, F.lower(text).alias("__text")).mapInArrow(run, T.StructType(fields))
 
 
+def _detect_by_join(
+    df: DataFrame, keys: Sequence[str], text: str, profile: DataFrame, languages: Sequence[str], out: str
+) -> DataFrame:
+    """``detect_language`` with a profile of any size; rows are told apart by a number, as keys may repeat."""
+    rows = df.select(*keys, F.lower(text).alias("__text")).withColumn("__row", F.monotonically_increasing_id())
+    rows = durable(rows)
+    chars = F.split("__text", "")
+    places = F.sequence(F.lit(0), F.col("__n") - 3)
+    gram = F.transform(places, lambda i: F.concat(F.get("__chars", i), F.get("__chars", i + 1), F.get("__chars", i + 2)))
+    cut = rows.select("__row", F.length("__text").alias("__n"), chars.alias("__chars")).where("__n > 2")
+    counted = cut.select("__row", F.explode(gram).alias("gram")).groupBy("__row", "gram").agg(F.count("*").alias("n"))
+    names = sorted(languages, reverse=True)  # of equal scores the last name wins
+    sums = counted.join(profile, "gram").groupBy("__row").agg(*[F.sum(F.col("n") * F.col(l)).alias(f"__{l}") for l in names])
+    top = F.greatest(*[F.col(f"__{l}") for l in names]) if len(names) > 1 else F.col(f"__{names[0]}")
+    best = F.coalesce(*[F.when(F.col(f"__{l}") == top, F.lit(l)) for l in names])
+    found = rows.join(sums.select("__row", best.alias(out)), "__row", "left")
+    short = F.length(F.coalesce("__text", F.lit(""))) < SHORTEST
+    return found.select(*keys, F.when(short, TOO_SHORT).otherwise(F.coalesce(out, F.lit(UNKNOWN))).alias(out))
+
+
 def keep_languages(df: DataFrame, language: str, kept: Sequence[str] = ("es", "pt")) -> DataFrame:
     return df.where(F.col(language).isin(*kept))
 

@@ -49,6 +49,24 @@ def test_role_lookups(spark):
     ]
 
 
+def test_texts_of_one_fingerprint_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(J, "_fingerprint", lambda text: [F.when(J.S.col(text).isNotNull(), F.lit(n).cast("long")) for n in (1, 2)])
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c"), (5, "a")], "i int, t string")
+    cache = spark.createDataFrame(
+        [("a", "y"), ("a", "x"), ("b", "z"), ("t", "t_translated"), (None, "n"), ("c", None)], "t string, t_translated string"
+    )
+    found = {r["i"]: r["t_translated"] for r in J.with_translation(df, cache, "t").collect()}
+    assert found == {1: "x", 2: "z", 3: None, 4: "c", 5: "x"}
+
+
+def test_no_text_is_sorted_or_grouped_by_itself(spark):
+    df = spark.createDataFrame([(1, "a")], "i int, t string")
+    cache = spark.createDataFrame([("a", "y")], "t string, t_translated string")
+    plan = J.with_translation(df, cache, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert not [line for line in plan.splitlines() if " Sort [" in line and ("Sort [t#" in line or "text" in line)]
+
+
 def test_translations(spark):
     df = spark.createDataFrame([(1, "hello"), (2, "hola"), (3, None), (4, "bye")], "i int, t string")
     cache = spark.createDataFrame(

@@ -3,6 +3,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from faultline.functions import text as X
+from faultline.functions.stems import spanish_stem
 from faultline.operators import corpus as K
 from faultline.operators import features as V
 from faultline.operators import language as L
@@ -44,10 +45,38 @@ def test_html(spark):
     assert X.visible_text("<p>x<![CDATA[ y ]]></p><template>no</template>z") == "x y z"
 
 
-def test_stemmer(spark):
-    assert one(spark, ["motores rotos", None], X.stemmed(X.split_words("v"), lambda t: t.rstrip("s"))) == [
-        ["motore", "roto"], None
-    ]
+STEMS = """cheque chequ, chequeo cheque, cheques chequ, chiapas chiap, chicas chic, chicharrones chicharron, chico chic,
+    chihuahua chihuahu, chile chil, chilena chilen, chilango chilang, torá tor, tórax torax, torear tor, toreado tor,
+    toreándolo tor, toreó tore, torero torer, torneo torne, toros tor, torpe torp, torpes torp, torres torr, tortuga tortug,
+    averías aver, defectos defect, rápidamente rapid, comunicaciones comun, funcionando funcion, funciona funcion,
+    averiguar averigu, diciéndole dic, sigue sig, paguen pag, construyendo constru, arrepentimiento arrepent,
+    posibilidad posibil, biología biolog, existencia existent, creativas creativ, a a, y y"""
+
+
+def test_spanish_stems():
+    for pair in STEMS.split(","):
+        word, stem = pair.split()
+        assert spanish_stem(word) == stem, word
+
+
+def test_stems_of_rows(spark):
+    rows = [(1, ["motores", "rotos", None, "motores"]), (2, None), (3, []), (4, ["x"] * 500 + ["rotos"])]
+    docs = spark.createDataFrame(rows, "id int, words array<string>").repartition(3)
+    found = {r["id"]: r["stems"] for r in X.stemmed(docs, "id", "words", spanish_stem).collect()}
+    assert found == {1: ["motor", "rot", None, "motor"], 2: None, 3: [], 4: ["x"] * 500 + ["rot"]}
+    table = X.stem_table(docs, "words", spanish_stem)
+    assert sorted(map(tuple, table.collect())) == [("motores", "motor"), ("rotos", "rot"), ("x", "x")]
+
+
+def test_language_by_join_and_in_the_task(spark, monkeypatch):
+    rows = [(1, "la casa es muy grande", "es"), (2, "the house is very big", "en"), (3, "la mesa", "es"), (4, "the table", "en")]
+    labelled = spark.createDataFrame(rows, "id int, t string, lang string")
+    asked = spark.createDataFrame([(1, "LA CASA"), (1, "the house"), (2, None), (3, "zzzzzz"), (4, "la"), (5, "")], "id int, t string")
+    profile = L.language_profile(labelled, "t", "lang", ["es", "en"])
+    local = sorted(map(str, L.detect_language(asked, ["id"], "t", profile, ["es", "en"]).collect()))
+    monkeypatch.setattr(L, "MAX_PROFILE_ROWS", 3)
+    joined = sorted(map(str, L.detect_language(asked, ["id"], "t", profile, ["es", "en"]).collect()))
+    assert joined == local and "'en'" in local[0] + local[1]
 
 
 def test_language(spark):
@@ -115,7 +144,7 @@ def test_corpus(spark):
     ]
 
 
-def test_tfidf(spark):
+def test_tfidf(spark, monkeypatch):
     docs = spark.createDataFrame(
         [(1, "all one aa aa"), (2, "all two aa"), (3, "all x"), (4, ""), (5, "all two")], "id int, t string"
     )
@@ -126,6 +155,12 @@ def test_tfidf(spark):
     assert set(weights) == {(1, "aa"), (2, "aa"), (2, "two"), (5, "two")}
     new = spark.createDataFrame([(9, "two unseen")], "id int, t string")
     assert [tuple(r) for r in V.tfidf_weights(new, "id", "t", vocabulary).collect()] == [(9, "two", pytest.approx(1.0))]
+    with monkeypatch.context() as patched:
+        patched.setattr(V, "is_small", lambda df: False)
+        large = {(r["id"], r["term"]): r["weight"] for r in V.tfidf_weights(docs, "id", "t", vocabulary).collect()}
+        assert large == {k: pytest.approx(v) for k, v in weights.items()}
+    plan = V.tfidf_weights(docs, "id", "t", vocabulary)._jdf.queryExecution().toString()
+    assert "hashpartitioning" not in plan
     totals = {r["term"]: r["weight"] for r in V.term_weights(V.tfidf_weights(docs, "id", "t", vocabulary)).collect()}
     assert totals["aa"] == pytest.approx(1 + 2**-0.5)
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions import text as X
+from faultline.functions.stems import spanish_stem
 from faultline.operators import cleaning as C
 from faultline.operators import corpus as K
 from faultline.operators import features as V
@@ -31,31 +32,31 @@ def _strings(words: tuple) -> str:
 
 
 def language_id(spark: SparkSession, d: str) -> DataFrame:
-    """Language of every document, from profiles of the labelled documents."""
+    """Language of the documents of odd ids, from profiles of those of even ids."""
     documents = texts(spark, d, "doc_id", "text", "lang")
-    profile = L.language_profile(documents, "text", "lang", LANGUAGES)
-    return L.detect_language(documents, ["doc_id"], "text", profile, LANGUAGES)
+    profile = L.language_profile(documents.where("doc_id % 2 = 0"), "text", "lang", LANGUAGES)
+    return L.detect_language(documents.where("doc_id % 2 = 1"), ["doc_id"], "text", profile, LANGUAGES)
 
 
 _LANGUAGE_SQL = f"""
 c AS (SELECT doc_id, lang, length(text) AS len, string_split(lower(text), '') AS ch FROM documents),
 g AS (SELECT doc_id, lang, ch[i] || ch[i + 1] || ch[i + 2] AS gram
       FROM (SELECT doc_id, lang, ch, unnest(range(1, len(ch) - 1)) AS i FROM c)),
-n AS (SELECT lang, gram, count(*) AS n FROM g WHERE lang IN ({_strings(LANGUAGES)}) GROUP BY ALL),
+n AS (SELECT lang, gram, count(*) AS n FROM g WHERE doc_id % 2 = 0 AND lang IN ({_strings(LANGUAGES)}) GROUP BY ALL),
 k AS (SELECT * FROM n),
 v AS (SELECT count(DISTINCT gram) AS v FROM k),
 tot AS (SELECT lang, sum(n) AS total FROM k GROUP BY lang),
 p AS (SELECT a.gram, tot.lang, ln((coalesce(k.n, 0) + 1) / (tot.total + v.v)) AS w
       FROM (SELECT DISTINCT gram FROM k) a CROSS JOIN tot CROSS JOIN v
       LEFT JOIN k ON k.gram = a.gram AND k.lang = tot.lang),
-gn AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY ALL),
+gn AS (SELECT doc_id, gram, count(*) AS n FROM g WHERE doc_id % 2 = 1 GROUP BY ALL),
 s AS (SELECT doc_id, p.lang, sum(gn.n * w) AS score FROM gn JOIN p USING (gram) GROUP BY ALL),
 best AS (SELECT doc_id, lang FROM s
          QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang DESC) = 1),
 languages AS (
   SELECT c.doc_id, CASE WHEN coalesce(c.len, 0) < 5 THEN 'Too short'
                         WHEN best.lang IS NULL THEN 'Error' ELSE best.lang END AS language
-  FROM c LEFT JOIN best USING (doc_id))
+  FROM c LEFT JOIN best USING (doc_id) WHERE doc_id % 2 = 1)
 """
 
 LANGUAGE_ID = f"WITH {_LANGUAGE_SQL} SELECT * FROM languages"
@@ -75,6 +76,30 @@ WHERE language IN ('es', 'pt')
 """
 
 
+def detected_worklist(spark: SparkSession, d: str) -> DataFrame:
+    """Work-list end to end: distinct texts of two fields, their detected language, and what there is to translate."""
+    documents = texts(spark, d, "doc_id", "text", "source", "lang")
+    profile = L.language_profile(documents.where("doc_id % 2 = 0"), "text", "lang", LANGUAGES)
+    worklist = L.distinct_texts(documents.where("doc_id % 2 = 1").select("text", "source"), ["text", "source"])
+    detected = L.detect_language(worklist, ["field", "text"], "text", profile, LANGUAGES)
+    return L.translation_budget(detected)
+
+
+DETECTED_WORKLIST = f"""
+WITH {_LANGUAGE_SQL},
+t AS (SELECT DISTINCT text, language FROM documents JOIN languages USING (doc_id))
+SELECT 'text' AS field, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS characters
+FROM t WHERE language NOT IN ('es', 'Error', 'Too short')
+"""
+
+
+def stemmed_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Spanish documents as stems, each distinct word stemmed once."""
+    documents = texts(spark, d, "doc_id", "text", "lang").where("lang = 'es'")
+    words = documents.select("doc_id", X.tokens("text", stop_words=STOP_WORDS, alpha_only=True).alias("words"))
+    return X.stemmed(words, "doc_id", "words", spanish_stem)
+
+
 def html_to_text(spark: SparkSession, d: str) -> DataFrame:
     pages = spread(table(spark, d, "pages").select("page_id", "html"), "page_id")
     return K.html_texts(pages, "page_id", "html")
@@ -282,6 +307,8 @@ WHERE source IS NULL OR source <> 'src1'
 
 QUERIES = {
     "language_id": (language_id, LANGUAGE_ID),
+    "detected_worklist": (detected_worklist, DETECTED_WORKLIST),
+    "stemmed_documents": (stemmed_documents, None),
     "corpus_languages": (corpus_languages, CORPUS_LANGUAGES),
     "html_to_text": (html_to_text, HTML_TO_TEXT),
     "sentences": (sentences, SENTENCES),

@@ -256,14 +256,13 @@ def translation_worklist(spark: SparkSession, d: str) -> DataFrame:
         "text", F.concat(F.lit("es: "), "text").alias("text_translated")
     )
     result = J.worklist_translation(documents.select("doc_id", "text"), foreign, cache, "text")
-    return result.select("doc_id", F.length("text_translated").alias("translated_length"))
+    return result.select("doc_id", F.md5("text_translated").alias("translated_md5"))
 
 
 TRANSLATION_WORKLIST = """
 WITH w AS (SELECT DISTINCT text FROM documents WHERE lang <> 'es'),
      c AS (SELECT DISTINCT text, 'es: ' || text AS done FROM documents WHERE lang = 'fr')
-SELECT d.doc_id, CAST(length(CASE WHEN w.text IS NOT NULL THEN coalesce(c.done, w.text) END) AS INTEGER)
-       AS translated_length
+SELECT d.doc_id, md5(CASE WHEN w.text IS NOT NULL THEN coalesce(c.done, w.text) END) AS translated_md5
 FROM documents d LEFT JOIN w ON d.text = w.text LEFT JOIN c ON w.text = c.text
 """
 
@@ -454,13 +453,14 @@ FROM orders WHERE o_orderdate IS NOT NULL
 
 def catalogue_gaps(spark: SparkSession, d: str) -> DataFrame:
     customers = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("ID_ERROR"))
-    ordering = table(spark, d, "orders").select(F.col("o_custkey").cast("double").cast("string").alias("ID_ERROR"))
+    partly = table(spark, d, "orders").where(F.col("o_orderstatus") == "P")
+    ordering = partly.select(F.col("o_custkey").cast("double").cast("string").alias("ID_ERROR"))
     return J.missing_ids(customers, ordering, "ID_ERROR")
 
 
 CATALOGUE_GAPS = """
 SELECT CAST(c_custkey AS VARCHAR) AS ID_ERROR FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderstatus = 'P')
 """
 
 
