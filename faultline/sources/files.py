@@ -21,6 +21,7 @@ class CsvDialect:
     header: bool = True
     quote_all: bool = False
     encoding: str = "UTF-8"
+    byte_order_mark: bool = False  # written before the header of every part file; readers drop it
 
     def read_options(self) -> dict[str, object]:
         return {
@@ -50,7 +51,7 @@ class CsvDialect:
 COMMA = CsvDialect()
 COMMA_QUOTED = CsvDialect(quote_all=True)
 SEMICOLON = CsvDialect(separator=";")
-NOT_SIGN = CsvDialect(separator="¬")
+NOT_SIGN = CsvDialect(separator="¬", byte_order_mark=True)
 CATALOGUE_COLUMNS = ("ID_ERROR", "CODCAR3", "CODCAR2", "DESCFAM", "MOTIVO", "DESCRIPCION")
 
 
@@ -100,6 +101,9 @@ def read_catalogue(
 
 def write_csv(df: DataFrame, path: str, dialect: CsvDialect = COMMA, mode: str = "error") -> None:
     """CSV part files; missing parent folders are created."""
+    if dialect.byte_order_mark and dialect.header and not dialect.quote_all:
+        # The header is the first thing written to a file, so the mark goes with its first name.
+        df = df.toDF("\ufeff" + df.columns[0], *df.columns[1:])
     df.write.mode(mode).options(**dialect.write_options()).csv(path)
 
 

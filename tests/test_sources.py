@@ -128,3 +128,12 @@ def test_feed_translates_each_text_once(spark, tmp_path):
     feed(["b", "c"])
     rows = S.read_cache(spark, cache, "t string, t_translated string, error string").collect()
     assert sorted((r["t"], r["t_translated"]) for r in rows) == [("a", "A"), ("b", "B"), ("c", "C")]
+
+
+def test_not_sign_files_begin_with_a_mark(spark, tmp_path):
+    path = str(tmp_path / "signs")
+    S.write_csv(spark.createDataFrame([("1", "a¬b"), ("2", None)], "k string, v string"), path, S.NOT_SIGN)
+    parts = [p.read_bytes() for p in (tmp_path / "signs").glob("*.csv")]
+    assert parts and all(p.startswith(b"\xef\xbb\xbfk\xc2\xacv\n") for p in parts if p)
+    back = S.read_text_csv(spark, path, S.NOT_SIGN)
+    assert back.columns == ["k", "v"] and sorted(map(tuple, back.collect())) == [("1", "a¬b"), ("2", None)]

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators import similarity as M
+from faultline.operators.cleaning import by_key
 from faultline.operators.translation import translate_texts, untranslated
 from faultline.plans.durable import shared_path
 from faultline.sources import files as S
+from faultline.sources.split_csv import read_split_csv
 from faultline.sources.extract import TableSpec, extract_tables
 from workload import texts as X
 from workload.tables import table
@@ -29,6 +31,39 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
 CSV_ROUND_TRIP = "SELECT doc_id, md5(text) AS text_md5, lang, n_chars FROM documents"
 
 
+def split_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with line breaks in quoted fields, read back by several tasks a file."""
+    path = shared_path(spark, "csv")
+    S.write_csv(table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars").coalesce(1), path, S.COMMA_QUOTED)
+    back = read_split_csv(spark, path)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", F.col("n_chars").cast("long").alias("n_chars"))
+
+
+SPLIT_CSV = "SELECT doc_id, md5(text) AS text_md5, lang, CAST(n_chars AS BIGINT) AS n_chars FROM documents"
+
+
+def catalogue_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A catalogue file whose header says other names, found by its suffix, scanned by position, one entry looked up."""
+    path = shared_path(spark, "catalogue")
+    label = F.col("label")
+    entries = table(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n")).select(
+        label.alias("a"), (label % 3).alias("b"), (label % 2).alias("c"), F.concat(F.lit("familia "), label.cast("string")).alias("d"),
+        F.concat(F.lit("motivo; "), label.cast("string")).alias("e"), F.col("n").cast("string").alias("f"),
+    )
+    S.write_csv(entries, path, S.SEMICOLON)
+    files = S.find_files(spark, path, ".csv")
+    catalogue = S.read_catalogue(spark, path).where(F.col("ID_ERROR").isNotNull())
+    chosen = by_key(catalogue, "ID_ERROR", "3")
+    return chosen.select("*", F.lit(files.where("length > 0").count() > 0).alias("found"))
+
+
+CATALOGUE_ROUND_TRIP = """
+SELECT CAST(label AS VARCHAR) AS ID_ERROR, CAST(label % 3 AS VARCHAR) AS CODCAR3, CAST(label % 2 AS VARCHAR) AS CODCAR2,
+       'familia ' || label AS DESCFAM, 'motivo; ' || label AS MOTIVO, CAST(count(*) AS VARCHAR) AS DESCRIPCION, true AS found
+FROM embeddings WHERE label = 3 GROUP BY label
+"""
+
+
 def cached_translations(spark: SparkSession, d: str) -> DataFrame:
     """Two runs against an append-only cache; the second finds nothing left of the first."""
     path = shared_path(spark, "cache")
@@ -108,6 +143,8 @@ SELECT query_id, rank, vec_id, error, round(score, 6) AS score FROM r WHERE rank
 
 QUERIES = {
     "csv_round_trip": (csv_round_trip, CSV_ROUND_TRIP),
+    "split_csv": (split_csv, SPLIT_CSV),
+    "catalogue_round_trip": (catalogue_round_trip, CATALOGUE_ROUND_TRIP),
     "cached_translations": (cached_translations, CACHED_TRANSLATIONS),
     "versioned_corpus": (versioned_corpus, VERSIONED_CORPUS),
     "extract_report": (extract_report, EXTRACT_REPORT),

@@ -248,6 +248,24 @@ def encoded_documents(spark: SparkSession, d: str) -> DataFrame:
     return vectors.select("doc_id", F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("vector"))
 
 
+def _counting_encoder():
+    """A stand-in sentence encoder: length, letters e, blanks."""
+    return lambda texts: [[len(t), t.count("e"), t.count(" ")] for t in texts]
+
+
+def encoded_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of an injected encoder, one number a column."""
+    vectors = V.encode(texts(spark, d, "doc_id", "text"), "doc_id", "text", _counting_encoder)
+    return vectors.select("doc_id", *[F.get("vector", F.lit(i)).cast("long").alias(f"v{i}") for i in range(3)])
+
+
+ENCODED_SENTENCES = """
+SELECT doc_id, CAST(length(t) AS BIGINT) AS v0, CAST(length(t) - length(replace(t, 'e', '')) AS BIGINT) AS v1,
+       CAST(length(t) - length(replace(t, ' ', '')) AS BIGINT) AS v2
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+"""
+
+
 PUNCTUATION, STOPPED, CLUSTERS = (0, "dropPunctuation"), (0, "stopWords"), (2, "k")
 
 
@@ -319,6 +337,7 @@ QUERIES = {
     "term_weights": (term_weights, TERM_WEIGHTS),
     "word2vec_docs": (word2vec_docs, None),
     "preprocessing_grid": (preprocessing_grid, None),
+    "encoded_sentences": (encoded_sentences, ENCODED_SENTENCES),
     "encoded_documents": (encoded_documents, None),
     "batch_translate": (batch_translate, BATCH_TRANSLATE),
     "header_rows": (header_rows, HEADER_ROWS),

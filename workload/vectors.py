@@ -13,10 +13,11 @@ from faultline.operators import features as V
 from faultline.operators import reshape as U
 from faultline.operators import similarity as M
 from faultline.plans.durable import durable
-from faultline.plans.sizing import bounded_side
+from faultline.plans.sizing import measured_side
 from workload.tables import table
 
 LABELS = 10
+MAX_COLUMNS = 2_000
 
 
 def _family(label: str):
@@ -88,7 +89,7 @@ def _six(df: DataFrame) -> DataFrame:
 def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Cosine of every vector with the mean of its label."""
     means = prototypes(spark, d).select("label", F.col("vector").alias("mean"))
-    joined = table(spark, d, "embeddings").join(bounded_side(means, LABELS), "label")
+    joined = table(spark, d, "embeddings").join(measured_side(means), "label")
     return _six(joined.select("vec_id", "label", N.cosine("embedding", "mean").alias("score")))
 
 
@@ -99,6 +100,18 @@ FROM tickets t JOIN catalogue c USING (label)
 """
 
 
+def mean_label_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Mean of the repeated scores of each label."""
+    return E.mean_scores(cosine_pairs(spark, d), ["label"], "score").withColumn("score", F.round("score", 5))
+
+
+MEAN_LABEL_SCORES = f"""
+WITH {_CATALOGUE_SQL}
+SELECT t.label, round(avg(round(list_cosine_similarity(t.vector, c.vector), 6)), 5) AS score
+FROM tickets t JOIN catalogue c USING (label) GROUP BY t.label
+"""
+
+
 def _questions(spark: SparkSession, d: str) -> DataFrame:
     return prototypes(spark, d).select(
         F.col("label").alias("query_id"), F.col("CODCAR3").alias("family"), "vector"
@@ -259,17 +272,21 @@ FROM s
 
 
 def kmeans_grid(spark: SparkSession, d: str) -> DataFrame:
-    return G.kmeans_grid(table(spark, d, "embeddings"), "vec_id", "embedding", ks=(5, 10), iterations=10)
+    return G.kmeans_grid(table(spark, d, "embeddings"), "vec_id", "embedding", ks=(5, 10))
 
 
 def silhouette(spark: SparkSession, d: str) -> DataFrame:
     vectors = table(spark, d, "embeddings")
-    return G.silhouette(G.fit_kmeans(vectors, "embedding", 10, iterations=10), vectors, "embedding")
+    return G.silhouette(G.fit_kmeans(vectors, "embedding", 10), vectors, "embedding")
 
 
 def cluster_pivot(spark: SparkSession, d: str) -> DataFrame:
-    """Members of each cluster side by side; the clusters are the labels."""
-    return U.cluster_columns(table(spark, d, "embeddings"), "label", "vec_id", range(LABELS))
+    """Members of each cluster side by side; the clusters are the labels of the table, one column each."""
+    vectors = table(spark, d, "embeddings")
+    labels = [r[0] for r in vectors.select("label").where("label is not null").distinct().orderBy("label").take(MAX_COLUMNS + 1)]
+    if len(labels) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} clusters do not fit side by side")
+    return U.cluster_columns(vectors, "label", "vec_id", labels)
 
 
 CLUSTER_PIVOT = f"""
@@ -297,13 +314,14 @@ def ticket_labels(spark: SparkSession, d: str) -> DataFrame:
     )
     left = table(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("ID"))
     keyed = names.select(S.key_text("ID").alias("ID"), "MOTIVO")
-    return left.join(bounded_side(keyed, LABELS), "ID", "left").select("vec_id", "MOTIVO")
+    return left.join(measured_side(keyed), "ID", "left").select("vec_id", "MOTIVO")
 
 
 TICKET_LABELS = "SELECT vec_id, 'motivo ' || label AS MOTIVO FROM embeddings"
 
 QUERIES = {
     "cosine_pairs": (cosine_pairs, COSINE_PAIRS),
+    "mean_label_scores": (mean_label_scores, MEAN_LABEL_SCORES),
     "nearest_vectors": (nearest_vectors, NEAREST_VECTORS),
     "family_search": (family_search, FAMILY_SEARCH),
     "catalogue_scores": (catalogue_scores, CATALOGUE_SCORES),
