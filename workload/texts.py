@@ -232,9 +232,9 @@ TERM_WEIGHTS = f"WITH {_TFIDF_SQL} SELECT term, round(sum(weight), 6) AS weight
 
 
 def word2vec_docs(spark: SparkSession, d: str) -> DataFrame:
-    """Document vectors of a word-vector model with the settings of the defect texts: 100 numbers, 20 rounds, words seen twice."""
+    """Document vectors of a word-vector model: 100 numbers, words seen twice, two rounds."""
     documents = texts(spark, d, "doc_id", "text").select("doc_id", V.term_tokens("text").alias("tokens"))
-    model = V.fit_word2vec(documents, "tokens", size=100, min_count=2, epochs=20, seed=1)
+    model = V.fit_word2vec(documents, "tokens", size=100, min_count=2, epochs=2, seed=1)
     vectors = V.word2vec_vectors(model, documents, ["doc_id"])
     return vectors.select("doc_id", F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("vector"))
 
