@@ -11,6 +11,7 @@ from faultline.functions.scalars import joined_text
 from faultline.operators import cleaning as C
 from faultline.operators import joins as J
 from faultline.operators.similarity import classify
+from faultline.plans.sizing import measured_side
 
 TEXT_FIELDS = ("desc_problema", "descripcion", "problema")
 
@@ -60,7 +61,14 @@ def analysis_set(
 def most_likely_errors(
     tickets: DataFrame, catalogue: DataFrame, key: str, compat: bool = False
 ) -> DataFrame:
-    """Best catalogue error of each ticket vector, with the catalogue texts."""
+    """Best catalogue error of each ticket vector, with the text that it has in the ticket's family.
+
+    Only ``compat`` can choose an error of another family; it has the first of its texts.
+    """
     best = classify(tickets, catalogue, key, keep=["CAR3", "CAR2"], compat=compat)
-    texts = catalogue.groupBy("ID_ERROR").agg(F.min("MOTIVO").alias("MOTIVO"))
-    return J.enrich_articles(best, texts.withColumnRenamed("ID_ERROR", "__id"), "ID_ERROR", "__id").drop("__id")
+    texts = catalogue.groupBy(F.col("ID_ERROR").alias("__id"), F.col("CODCAR3").alias("__family")).agg(F.min("MOTIVO").alias("__own"))
+    first = catalogue.groupBy(F.col("ID_ERROR").alias("__any")).agg(F.min("MOTIVO").alias("__first"))
+    same = (F.col("ID_ERROR") == F.col("__id")) & (F.col("CAR3") == F.col("__family"))
+    named = best.join(measured_side(texts), same, "left").join(measured_side(first), F.col("ID_ERROR") == F.col("__any"), "left")
+    motive = F.when(F.col("__id").isNotNull(), F.col("__own")).otherwise(F.col("__first")).alias("MOTIVO")
+    return named.select(*best.columns, motive)

@@ -204,3 +204,18 @@ def test_pca(spark):
     assert np.allclose((projected[["pc_0", "pc_1"]] ** 2).sum(), s[:2] ** 2)
     assert np.allclose(projected[["pc_0", "pc_1"]].mean(), 0, atol=1e-9)
     assert G.outliers(V.project(model, df, "v", ["id"], 2), "pc_0", 1e9).count() == 0
+
+
+def test_texts_are_those_of_the_family(spark):
+    from faultline.plans.tickets import most_likely_errors
+
+    catalogue = spark.createDataFrame(
+        [("E1", 0, 1, 0, "text of 1", [1.0, 0.0]), ("E1", 1, 2, 0, "a text of 2", [1.0, 0.0]), ("E2", 2, 2, 0, "two", [0.0, 1.0])],
+        "ID_ERROR string, catalogue_pos int, CODCAR3 int, CODCAR2 int, MOTIVO string, vector array<double>",
+    )
+    rows = [(1, 1, 0, [1.0, 0.1]), (2, 2, 0, [1.0, 0.1]), (3, 2, 0, [0.0, 1.0]), (4, 9, 0, [1.0, 0.0]), (5, 1, 0, [-1.0, 0.0])]
+    tickets = spark.createDataFrame(rows, "k int, CAR3 int, CAR2 int, vector array<double>")
+    found = {r["k"]: (r["ID_ERROR"], r["MOTIVO"]) for r in most_likely_errors(tickets, catalogue, "k").collect()}
+    assert found == {1: ("E1", "text of 1"), 2: ("E1", "a text of 2"), 3: ("E2", "two"), 4: (None, None), 5: ("E1", "text of 1")}
+    zero = {r["k"]: (r["ID_ERROR"], r["MOTIVO"]) for r in most_likely_errors(tickets, catalogue, "k", compat=True).collect()}
+    assert zero == found | {4: ("E1", "a text of 2"), 5: ("E2", "two")}
