@@ -5,6 +5,9 @@ from __future__ import annotations
 from faultline.llm import merkle, mixing, ngram_join, warc
 from faultline.llm.vector_rows import K, QUERY_STEP
 
+# Rounds written out in SQL: more than the tables need for raking and level to settle.
+RAKE_ROUNDS, LEVEL_ROUNDS = 24, 12
+
 
 def _case(column: str, table: dict[str, float], other: float) -> str:
     whens = " ".join(f"WHEN '{value}' THEN CAST({share} AS DOUBLE)" for value, share in table.items())
@@ -12,7 +15,7 @@ def _case(column: str, table: dict[str, float], other: float) -> str:
 
 
 def mixing_sql() -> str:
-    """Raking with all rounds written out, and the level of the budget by the same steps."""
+    """Raking with all rounds written out, the level of the budget, and copies from the weights alone."""
     steps = [
         r"""
 counted AS (
@@ -42,7 +45,7 @@ cells AS (
         f"w0 AS (SELECT cells.source, cells.lang, cells.topic, tokens, {targets}, CAST(1 AS DOUBLE) AS weight FROM cells {joins})"
     )
     step = 0
-    for _ in range(mixing.ROUNDS):
+    for _ in range(RAKE_ROUNDS):
         for margin in mixing.MARGINS:
             steps.append(
                 f"w{step + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, {targets}, weight *"
@@ -53,7 +56,7 @@ cells AS (
     steps.append(
         f"f0 AS (SELECT {mixing.RATE} * sum(tokens) / sum(weight * tokens) AS factor, {mixing.RATE} * sum(tokens) AS budget FROM {last})"
     )
-    for i in range(mixing.LEVEL_ROUNDS):
+    for i in range(LEVEL_ROUNDS):
         full = f"coalesce(sum(tokens) FILTER (weight * factor >= 1), 0)"
         rest = f"coalesce(sum(weight * tokens) FILTER (weight * factor < 1), 0)"
         steps.append(
@@ -66,11 +69,13 @@ cells AS (
 WITH {', '.join(steps)},
 placed AS (
   SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, coalesce(w.weight, 0) AS weight,
-         least(1.0, coalesce(w.weight, 0) * (SELECT factor FROM f{mixing.LEVEL_ROUNDS})) AS p
+         least(1.0, coalesce(w.weight, 0) * (SELECT factor FROM f{LEVEL_ROUNDS})) AS p,
+         coalesce(w.weight, 0) * (SELECT factor FROM f0) AS e, {draw} AS u
   FROM docs d LEFT JOIN {last} w ON d.source IS NOT DISTINCT FROM w.source
     AND d.lang IS NOT DISTINCT FROM w.lang AND d.topic = w.topic)
 SELECT doc_id, source, lang, topic, n_tokens, round(weight, 6) AS weight, round(p, 6) AS probability,
-       {draw} < p AS drawn
+       u < p AS drawn, round(e, 6) AS expected_copies,
+       CAST(floor(e) + CASE WHEN u < e - floor(e) THEN 1 ELSE 0 END AS INTEGER) AS copies
 FROM placed"""
 
 

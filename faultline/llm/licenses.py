@@ -4,7 +4,9 @@ Words are runs of ASCII letters, digits and non-ASCII characters of the lower-ca
 text; everything else separates them. The automaton runs over the words joined by
 single blanks and finds all notice phrases and identifier tags in one pass. What
 follows a tag (``SPDX-License-Identifier: (MIT OR GPL-2.0-only) AND BSD-3-Clause``) is
-an expression: ``with`` binds tightest, then ``and``, then ``or``.
+an expression: ``with`` binds tightest, then ``and``, then ``or``. Its names are those of ``GRADES``, alone or
+with a version behind them, and ``LicenseRef-`` names. Any other name, or an operator at the end,
+makes the whole expression a broken one: no labels, and less weight in the score.
 
 Defined cases: a null text counts as empty; an empty text has no words, no places, null
 ``first_word`` and ``last_word``, empty labels and score 0; equal rows give equal results;
@@ -43,25 +45,48 @@ NOTICES = {
 }
 TAGS = ("spdx license identifier", "spdx licence identifier")
 
-# Label and freedom of reuse (1: any use, 0: none) of an identifier, by its longest known prefix.
+# Label and freedom of reuse (1: any use, 0: none) of an identifier, by the longest name that it equals or continues
+# after a hyphen.
 GRADES = {
     "mit": ("mit", 1.0),
+    "apache-1.0": ("apache-1", 1.0),
+    "apache-1.1": ("apache-1", 1.0),
     "apache-2.0": ("apache-2", 1.0),
-    "bsd-": ("bsd", 1.0),
+    "bsd": ("bsd", 1.0),
+    "0bsd": ("bsd", 1.0),
     "isc": ("isc", 1.0),
-    "cc0-": ("public-domain", 1.0),
+    "zlib": ("zlib", 1.0),
+    "bsl-1.0": ("bsl", 1.0),
+    "ncsa": ("ncsa", 1.0),
+    "psf-2.0": ("psf", 1.0),
+    "python-2.0": ("psf", 1.0),
+    "postgresql": ("postgresql", 1.0),
+    "openssl": ("openssl", 1.0),
+    "unicode": ("unicode", 1.0),
+    "x11": ("x11", 1.0),
+    "wtfpl": ("public-domain", 1.0),
+    "cc0": ("public-domain", 1.0),
     "unlicense": ("public-domain", 1.0),
-    "cc-by-": ("cc-by", 0.9),
+    "cc-by": ("cc-by", 0.9),
     "cc-by-sa": ("cc-by-sa", 0.6),
     "cc-by-nc": ("cc-by-nc", 0.2),
     "cc-by-nd": ("cc-by-nd", 0.2),
-    "mpl-": ("mpl", 0.7),
-    "epl-": ("epl", 0.7),
-    "lgpl-": ("lgpl", 0.7),
+    "artistic": ("artistic", 0.8),
+    "ofl": ("ofl", 0.8),
+    "ms-pl": ("ms-pl", 0.8),
+    "mpl": ("mpl", 0.7),
+    "epl": ("epl", 0.7),
+    "cddl": ("cddl", 0.7),
+    "lgpl": ("lgpl", 0.7),
+    "eupl": ("eupl", 0.6),
+    "odbl": ("odbl", 0.6),
+    "gfdl": ("gfdl", 0.5),
+    "gpl-1.0": ("gpl-1", 0.5),
     "gpl-2.0": ("gpl-2", 0.5),
     "gpl-3.0": ("gpl-3", 0.5),
-    "agpl-": ("agpl", 0.4),
+    "agpl": ("agpl", 0.4),
 }
+OWN_NAME = "licenseref-"
 UNKNOWN_GRADE = 0.3
 EXCEPTION_BONUS = 0.2
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
@@ -121,26 +146,41 @@ def postfix(tokens: Sequence[str]) -> list[str]:
 
 
 def grade(identifier: str) -> tuple[str, float]:
-    name = identifier.rstrip("+")
-    known = max((p for p in GRADES if name.startswith(p)), key=len, default=None)
-    return GRADES[known] if known else (name, UNKNOWN_GRADE)
+    """Label and freedom of a known identifier or ``LicenseRef-`` name. Raises ``ValueError`` for other names."""
+    name = identifier.removesuffix("+")
+    if name.startswith(OWN_NAME) and name != OWN_NAME:
+        return name, UNKNOWN_GRADE
+    known = max((p for p in GRADES if name == p or name.startswith(f"{p}-")), key=len, default=None)
+    if known is None:
+        raise ValueError(f"not a licence: {identifier}")
+    return GRADES[known]
 
 
 def evaluate(tokens: Sequence[str]) -> tuple[set[str], float]:
     """Labels and freedom of an expression: ``and`` takes the stricter side, ``or`` the freer one,
-    ``with`` adds an exception to the licence on its left."""
-    stack: list[tuple[set[str], float]] = []
+    ``with`` adds an exception to the licence on its left. Raises ``ValueError`` on a malformed expression
+    or an unknown name."""
+
+    def value(side: str | tuple[set[str], float]) -> tuple[set[str], float]:
+        if isinstance(side, str):
+            label, free = grade(side)
+            return {label}, free
+        return side
+
+    stack: list[str | tuple[set[str], float]] = []
     for token in postfix(tokens):
         if token not in PRECEDENCE:
-            label, free = grade(token)
-            stack.append(({label}, free))
+            stack.append(token)
             continue
-        (labels_b, free_b), (labels_a, free_a) = stack.pop(), stack.pop()
+        right, (labels, free) = stack.pop(), value(stack.pop())
         if token == "with":
-            stack.append((labels_a, min(1.0, free_a + EXCEPTION_BONUS)))
+            if not isinstance(right, str):
+                raise ValueError("an exception is one name")
+            stack.append((labels, min(1.0, free + EXCEPTION_BONUS)))
         else:
-            stack.append((labels_a | labels_b, (min if token == "and" else max)(free_a, free_b)))
-    return stack.pop()
+            more, other = value(right)
+            stack.append((labels | more, (min if token == "and" else max)(free, other)))
+    return value(stack.pop())
 
 
 def read_expression(text: str, start: int) -> list[str]:
@@ -156,8 +196,6 @@ def read_expression(text: str, start: int) -> list[str]:
         operand_next = token == "(" or token in PRECEDENCE
         tokens.append(token)
         start = match.end()
-    while tokens and tokens[-1] in PRECEDENCE:  # "MIT and see below" style endings
-        tokens.pop()
     # A full stop that ends the sentence is not part of a name.
     return [t.rstrip(".:") if t not in "()" else t for t in tokens]
 

@@ -2,7 +2,9 @@
 
 Tokens are summed into the cells of source, language and topic. Iterative proportional fitting multiplies
 the weight of each cell in turn so that the weighted tokens of every source, then every language, then
-every topic take their target shares, for ``rounds`` rounds or until no share is off by more than the tolerance. A document's probability is
+every topic take their target shares, until no share is off by more than the tolerance. Targets that
+contradict each other are left when rounds no longer bring them nearer, or after ``rounds`` rounds; ``fit_error`` is the largest relative error that
+remains. A document's probability is
 proportional to the weight of its cell, at most 1, at a level at which the expected tokens meet the budget.
 It is drawn when a hash of its id, as a number in [0, 1), is below its probability, so a repeated task draws
 the same documents. The cap makes the drawn shares fall short of the targets wherever a cell has fewer
@@ -36,9 +38,10 @@ TOPIC_TARGETS = {"short": 0.3, "medium": 0.4, "long": 0.3}
 OTHER = 0.05
 SOURCE_POWER = 0.5
 RATE = 0.6
-ROUNDS = 12
+ROUNDS = 60
 TOLERANCE = 1e-10
-LEVEL_ROUNDS = 6
+# Rounds that leave more than this part of the error show that the targets contradict each other.
+STALLED = 0.999
 SEED = "mix-1"
 MARGINS = ("source", "lang", "topic")
 
@@ -88,8 +91,8 @@ def targets(
 
 def rake(
     cells: DataFrame, wanted: Mapping[str, DataFrame], rounds: int, tolerance: float, together: int = 3
-) -> DataFrame:
-    """Add ``weight`` to the cells with tokens so that the weighted tokens take the target shares.
+) -> tuple[DataFrame, float]:
+    """Add ``weight`` to the cells with tokens so that the weighted tokens take the target shares, and tell the error left.
 
     The sums of a margin come from a window over the cells, which are few: one row per source,
     language and topic, whatever the number of documents. ``together`` rounds make one plan.
@@ -98,7 +101,7 @@ def rake(
     for margin, shares in wanted.items():
         shares = shares.withColumnRenamed("target", f"{margin}_target")
         fitted = fitted.join(shares, F.col(margin).eqNullSafe(F.col(f"{margin}_key"))).drop(f"{margin}_key")
-    fitted = durable(fitted)
+    fitted, worst = durable(fitted), float("inf")
     for start in range(0, rounds, together):
         for _ in range(min(together, rounds - start)):
             for margin in wanted:
@@ -106,30 +109,29 @@ def rake(
                 fitted = fitted.withColumn("factor", F.col(f"{margin}_target") / now).withColumn(
                     "weight", F.col("weight") * F.col("factor")
                 )
-        fitted = durable(fitted)
         # The weights settle when the last step of a round leaves the sums of the other margins alone.
-        worst = 0.0
-        for margin in wanted:
-            now = fitted.groupBy(margin).agg(
-                F.sum(F.col("weight") * F.col("tokens")).alias("now"), F.first(f"{margin}_target").alias("target")
-            )
-            off = now.agg(F.max(F.abs(F.col("now") / F.col("target") - 1))).first()[0]
-            worst = max(worst, off or 0.0)
-        if worst <= tolerance:
+        off = [
+            F.abs(F.sum(F.col("weight") * F.col("tokens")).over(Window.partitionBy(m)) / F.col(f"{m}_target") - 1)
+            for m in wanted
+        ]
+        fitted = durable(fitted.withColumn("off", F.greatest(*off)))
+        before, worst = worst, fitted.agg(F.max("off")).first()[0] or 0.0
+        if worst <= tolerance or worst > STALLED * before:
             break
-    return fitted.select(*cells.columns, "weight")
+    return fitted.select(*cells.columns, "weight"), worst
 
 
-def level(fitted: DataFrame, budget: float, rounds: int) -> float:
+def level(fitted: DataFrame, budget: float) -> float:
     """The factor at which the expected tokens, with no probability above 1, come to the budget.
 
-    One pass finds what is capped at the present factor and raises the factor for the rest.
+    One pass finds what is capped at the present factor and raises the factor for the rest; it ends
+    when no more cells are capped.
     """
     factor = 0.0
     start = fitted.agg(F.sum(F.col("weight") * F.col("tokens"))).first()[0]
     if start:
         factor = budget / start
-    for _ in range(rounds if start else 0):
+    while start:
         capped = F.col("weight") * factor >= 1
         full, rest = fitted.agg(
             F.coalesce(F.sum(F.when(capped, F.col("tokens"))), F.lit(0)),
@@ -158,7 +160,7 @@ def mix(
     tolerance: float = TOLERANCE,
     seed: str = SEED,
 ) -> DataFrame:
-    """All columns of ``docs`` in ``doc``, with ``n_tokens, weight, probability, drawn, expected_copies, copies``.
+    """All columns of ``docs`` in ``doc``, with ``n_tokens, weight, probability, drawn, expected_copies, copies, fit_error``.
 
     ``docs`` is read twice: for the cells, and for the result.
     """
@@ -167,9 +169,9 @@ def mix(
         F.struct(*docs.columns).alias("doc"), F.col(key).alias("__key"), *own, tokens(F.col(text)).alias("n_tokens")
     ).withColumn("topic", topic if topic is not None else word_length_topic(F.col("__text"), F.col("n_tokens")))
     cells = durable(counted.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
-    fitted = rake(cells, targets(cells, languages, topics, other, power), rounds, tolerance)
+    fitted, error = rake(cells, targets(cells, languages, topics, other, power), rounds, tolerance)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    factor = level(fitted, rate * total, LEVEL_ROUNDS)
+    factor = level(fitted, rate * total)
     whole = fitted.agg(F.sum(F.col("weight") * F.col("tokens"))).first()[0]
     uncapped = rate * total / whole if whole else 0.0
     weights = fitted.select(*[F.col(m).alias(f"{m}_key") for m in MARGINS], "weight")
@@ -181,7 +183,7 @@ def mix(
     weight, draw = F.coalesce("weight", F.lit(0.0)), uniform(F.col(f"doc.{key}"), seed)
     drawn = joined.select(
         "doc", "source", "lang", "topic", "n_tokens", weight.alias("weight"), probability.alias("probability"),
-        (weight * F.lit(uncapped)).alias("expected_copies"),
+        (weight * F.lit(uncapped)).alias("expected_copies"), F.lit(error).alias("fit_error"),
     ).withColumn("drawn", draw < F.col("probability"))
     sure = F.floor("expected_copies").cast("int")
     return drawn.withColumn("copies", sure + (draw < F.col("expected_copies") - sure).cast("int"))

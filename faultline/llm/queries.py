@@ -21,6 +21,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("weight", 6).alias("weight"),
         F.round("probability", 6).alias("probability"),
         "drawn",
+        F.round("expected_copies", 6).alias("expected_copies"),
+        "copies",
     )
 
 

@@ -49,6 +49,26 @@ def test_mix_edges(edge, empty):
     assert mixing.mix(empty, rounds=3).collect() == []
 
 
+def test_mix_tells_the_error_left(spark):
+    """Each source has one language, so the targets of both can't be met; consistent ones settle."""
+    rows = [(i, "w " * 4, "en" if i % 3 else "de", f"s{min(i % 3, 1)}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    apart = mixing.mix(docs, languages={"en": 0.9, "de": 0.1}, rounds=6)
+    assert [r[0] > 0.1 for r in apart.select("fit_error").distinct().collect()] == [True]
+    free = docs.withColumn("source", F.lit("one"))
+    settled = mixing.mix(free, languages={"en": 0.9, "de": 0.1})
+    assert settled.select("fit_error").first()[0] <= mixing.TOLERANCE
+
+
+def test_mix_repeated_rows_and_nulls(spark):
+    rows = [(1, "a b", None, "s"), (1, "a b", None, "s"), (None, "c", "en", None), (2, None, "en", "s"), (3, "d e f", "de", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    mixed = mixing.mix(docs).collect()
+    assert len(mixed) == len(rows)
+    twins = [(r["copies"], r["drawn"]) for r in mixed if r["doc"]["doc_id"] == 1]
+    assert twins[0] == twins[1]
+
+
 def test_mix_meets_targets(spark):
     rows = [(i, "w " * (1 + i % 7), "en" if i % 3 else "de", f"s{i % 10 % 4}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
@@ -115,18 +135,35 @@ def test_licence_places_match_brute_force():
         ("mit or gpl-2.0 and bsd-3-clause", {"mit", "gpl-2", "bsd"}, 1.0),
         ("( mit or gpl-2.0 ) and cc-by-nc-4.0", {"mit", "gpl-2", "cc-by-nc"}, 0.2),
         ("gpl-2.0 with classpath-exception-2.0", {"gpl-2"}, 0.7),
+        ("licenseref-own-1 or mit-0", {"licenseref-own-1", "mit"}, 1.0),
+        ("lgpl-2.1+ and cc-by-4.0", {"lgpl", "cc-by"}, 0.7),
     ],
 )
 def test_expressions(text, labels, free):
     assert licenses.evaluate(text.split()) == (labels, pytest.approx(free))
 
 
-@pytest.mark.parametrize("text", ["", "and", "mit and", "( mit", "mit )", "mit mit", "( )"])
+@pytest.mark.parametrize("text", ["", "and", "mit and", "( mit", "mit )", "mit mit", "( )", "see", "mit or see", "mitten", "licenseref-", "gpl-2.0 with ( mit or isc )"])
 def test_malformed_expressions(text):
     with pytest.raises(ValueError):
         licenses.evaluate(text.split())
 
 
+@pytest.mark.parametrize(
+    "text, labels, expressions",
+    [
+        ("SPDX-License-Identifier: See the file", "", ""),
+        ("SPDX-License-Identifier: MIT OR", "", ""),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0.", "apache-2,mit", "mit or apache-2.0"),
+        ("SPDX-License-Identifier: LicenseRef-Own", "licenseref-own", "licenseref-own"),
+        ("under the MIT license. SPDX-License-Identifier: nothing", "mit", ""),
+    ],
+)
+def test_only_names_of_licences_become_labels(text, labels, expressions):
+    row = dict(zip([c.split()[0] for c in licenses.SCHEMA.split(", ")], licenses.scan(text, licenses.automaton(), licenses._separators())))
+    assert (row["labels"], row["expressions"], row["n_tags"]) == (labels, expressions, 1)
+
+
 # 3 archives
 
 
