@@ -92,7 +92,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         # Names of special tokens in a text become their ids, as they do by the library's default.
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.special = [name.lower() for name in special]
         # Found before any change of case, and parted from what surrounds them; a blank inside would forbid the cut at blanks.
         if any(re.search(r"\s", name) for name in special):
             raise ValueError("special tokens with white space cannot be told from words")
@@ -137,14 +137,16 @@ class Tokens:
     def _spaced(self, text: str) -> str:
         """Lower-case texts of Latin-1 characters here, where it is one to one, and set a comma or full stop between a
         letter and white space apart; both leave the ids as they are and save table entries."""
-        if self.special and self.special.search(text):
-            return text
         if not text.isascii():
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:
                 return text
-        return self.STOP.sub(r" \g<0>", text.lower())
+        lower = text.lower()
+        # Changing the case could make a name of what is none.
+        if any(name in lower for name in self.special):
+            return text
+        return self.STOP.sub(r" \g<0>", lower)
 
 
 def tokens(path: str) -> Tokens:

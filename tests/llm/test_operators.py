@@ -530,7 +530,7 @@ def test_words_may_be_encoded_alone():
     tokenizer = Tokenizer.from_file(token_store.default_tokenizer())
     own = token_store.Tokens(token_store.default_tokenizer())
     random.seed(4)
-    parts = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "Ab", "é", "É,", " ", "\n", ". ", ",\n", "'s ", "...", "12", "漢", "İ", "Σ ", "\t", "!. "]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "Ab", "é", "É,", " ", "\n", ". ", ",\n", "'s ", "...", "12", "漢", "İ", "Σ ", "\t", "!. "]
     for _ in range(500):
         text = "".join(random.choice(parts) for _ in range(30))
         ids = np.frombuffer(own.packed([text], 2)[0], np.uint16).tolist()
