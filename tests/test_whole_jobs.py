@@ -45,3 +45,9 @@ def test_language_of_every_document(spark, documents):
     labels = {r["doc_id"]: r["language"] for r in found.collect()}
     assert labels == dict(enumerate([*WORDS] * 2)) | {8: "Too short", 9: "Too short", 10: "es", 11: "es"}
     assert difference(found, database(documents, "documents"), driver.oracle_sql()["language_id"]) is None
+
+
+def test_corpus_keeps_languages_of_every_document(spark, documents):
+    found = driver.queries()["corpus_languages"](spark, documents)
+    assert sorted(r["doc_id"] for r in found.collect()) == [2, 6, 10, 11]
+    assert difference(found, database(documents, "documents"), driver.oracle_sql()["corpus_languages"]) is None
