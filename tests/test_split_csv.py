@@ -6,6 +6,7 @@ import pytest
 
 from faultline.sources import files as S
 from faultline.sources.split_csv import csv_records, read_split_csv
+from workload import files
 
 
 @pytest.fixture
@@ -60,3 +61,18 @@ def test_without_header_and_empty_files(spark, tmp_path, small_ranges):
     found = read_split_csv(spark, str(tmp_path), header=False, columns=["a", "b"])
     assert sorted(map(tuple, found.collect())) == [("1", "x\ny"), ("2", "z")]
     assert read_split_csv(spark, str(tmp_path / "b.csv")).collect() == []
+
+
+def test_query_writes_and_reads_by_several_tasks(spark, tmp_path, small_ranges, monkeypatch):
+    rows = [(i, f'line "{i}"\n' * 20, "es", 20 * i) for i in range(400)] + [(None, None, None, None), (7, "", "de", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    path = f"{tmp_path}/csv"
+    monkeypatch.setattr(files, "shared_path", lambda *_: path)
+    small_ranges(2_000)
+    found = files.split_csv(spark, str(tmp_path))
+    written = spark.read.format("binaryFile").load(path).where("length > 0").count()
+    assert written > 3 and spark.read.text(path).rdd.getNumPartitions() >= 2 * written
+    wanted = spark.read.parquet(f"{tmp_path}/documents.parquet").selectExpr("doc_id", "md5(text) AS text_md5", "lang", "n_chars")
+    # An empty text and none are one and the same in these files.
+    assert sorted(found.where("text_md5 is not null").collect()) == sorted(wanted.where("text != ''").collect())
+    assert found.count() == len(rows)

@@ -34,7 +34,10 @@ CSV_ROUND_TRIP = "SELECT doc_id, md5(text) AS text_md5, lang, n_chars FROM docum
 def split_csv(spark: SparkSession, d: str) -> DataFrame:
     """Documents with line breaks in quoted fields, read back by several tasks a file."""
     path = shared_path(spark, "csv")
-    S.write_csv(table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars").coalesce(1), path, S.COMMA_QUOTED)
+    documents = table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    # Two splits of the scan make a file, as one of them may fit into one range when it is read back.
+    files = max(1, documents.rdd.getNumPartitions() // 2)
+    S.write_csv(documents.coalesce(files), path, S.COMMA_QUOTED)
     back = read_split_csv(spark, path)
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", F.col("n_chars").cast("long").alias("n_chars"))
 
