@@ -9,7 +9,7 @@ unlinked one and of the live neighbour on the left, each in a logarithmic number
 Short pieces are merged many at a time: the trees of a batch are the rows of one array, and
 each step merges the root pair of every piece that still has one. Longer pieces
 use one tree each. Equal chunks of text are encoded once per task and looked up afterwards;
-the table is emptied when it reaches a fixed number of entries.
+when the table reaches a fixed number of entries, only those of the texts at hand are kept.
 
 Defined cases: a null text counts as empty; an empty text has no ids; equal rows give equal
 results; an empty table gives an empty result. Every byte has an id, so any text, of any
@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -60,6 +61,7 @@ class Vocabulary:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
+        self.whole = {token: rank.to_bytes(2, sys.byteorder) for token, rank in ranks.items()}
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         merges = {}
@@ -72,6 +74,8 @@ class Vocabulary:
         keys = np.array(sorted(merges), np.int64)
         self.pair_keys = np.append(keys, NO_PAIR)
         self.pair_ranks = np.array([*(merges[int(k)] for k in keys), 0], np.int64)
+        # Of two bytes, the rank of the pair that their ids are.
+        self.byte_pair_rank = self.rank_of_pairs(np.repeat(self.first, 256), np.tile(self.first, 256))
 
     def rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, ``NO_PAIR`` where the two do not merge or one is missing (negative)."""
@@ -144,9 +148,9 @@ def merge_batch(pieces: list[bytes], width: int, vocabulary: Vocabulary) -> list
         rank = vocabulary.rank_of_pairs(ids[rows, at], ids[rows, np.minimum(right[rows, at], width + 1)])
         return np.where(rank == NO_PAIR, NO_PAIR, rank * width + at - 1)
 
-    every = np.arange(n)
-    for at in range(1, width + 1):
-        tree[:, width + at - 1] = key(every, np.full(n, at))
+    # At first parts are single bytes, whose pairs are looked up by the two bytes.
+    rank = vocabulary.byte_pair_rank[raw[:, :-1].astype(np.uint16) << 8 | raw[:, 1:]]
+    tree[:, width:-1] = np.where((rank != NO_PAIR) & present[:, 1:], rank * width + np.arange(width - 1), NO_PAIR)
     for node in range(width - 1, 0, -1):
         tree[:, node] = np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1])
 
@@ -181,15 +185,18 @@ def merge_batch(pieces: list[bytes], width: int, vocabulary: Vocabulary) -> list
 
 
 def encode_pieces(pieces: Iterable[bytes], vocabulary: Vocabulary) -> dict[bytes, bytes]:
-    """Packed 16-bit ids of distinct pieces."""
+    """Packed 16-bit ids of distinct pieces; one that is a token has its id, as in the tiktoken library."""
     by_width: dict[int, list[bytes]] = {w: [] for w in BATCH_WIDTHS}
+    group_of = [by_width[next(w for w in BATCH_WIDTHS if n <= w)] for n in range(BATCH_WIDTHS[-1] + 1)]
     done: dict[bytes, bytes] = {}
+    whole = vocabulary.whole
     for piece in pieces:
-        width = next((w for w in BATCH_WIDTHS if len(piece) <= w), None)
-        if width is None:
-            done[piece] = array("H", merge_one(piece, vocabulary)).tobytes()
+        if piece in whole:
+            done[piece] = whole[piece]
+        elif len(piece) < len(group_of):
+            group_of[len(piece)].append(piece)
         else:
-            by_width[width].append(piece)
+            done[piece] = array("H", merge_one(piece, vocabulary)).tobytes()
     for width, group in by_width.items():
         step = max(1, BATCH_CELLS // width)
         for start in range(0, len(group), step):
@@ -214,18 +221,31 @@ class Encoder:
         self.ids_of: dict[str, bytes] = {}
 
     def learn(self, new: Iterable[str]) -> None:
-        split = [(chunk, [p.encode() for p in self.pattern.findall(chunk)]) for chunk in new]
-        known = encode_pieces({p for _, pieces in split for p in pieces}, self.vocabulary)
-        for chunk, pieces in split:
-            self.ids_of[chunk] = b"".join(map(known.__getitem__, pieces))
+        ids_of, findall = self.ids_of, self.pattern.findall
+        single: dict[str, bytes] = {}
+        several: dict[str, list[bytes]] = {}
+        distinct: set[bytes] = set()
+        for chunk in new:
+            pieces = findall(chunk)
+            if len(pieces) == 1:
+                single[chunk] = piece = pieces[0].encode()
+                distinct.add(piece)
+            else:
+                several[chunk] = parts = [p.encode() for p in pieces]
+                distinct.update(parts)
+        known = encode_pieces(distinct, self.vocabulary)
+        for chunk, piece in single.items():
+            ids_of[chunk] = known[piece]
+        for chunk, parts in several.items():
+            ids_of[chunk] = b"".join([known[p] for p in parts])
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 16-bit numbers."""
         cut = [chunks(t) for t in texts]
+        wanted = {c for parts in cut for c in parts}
         if len(self.ids_of) > MAX_CHUNKS:
-            self.ids_of.clear()
-        new = {c for parts in cut for c in parts}.difference(self.ids_of)
-        self.learn(new)
+            self.ids_of = {c: self.ids_of[c] for c in wanted.intersection(self.ids_of)}
+        self.learn(wanted.difference(self.ids_of))
         look_up = self.ids_of.__getitem__
         return [b"".join(map(look_up, parts)) for parts in cut]
 
