@@ -15,8 +15,8 @@ text under these links: the smallest id that links lead to.
    first, so only ranges of sizes that no chain spans are shuffled. Their whole sets meet in one task, or, if the cluster is
    larger than a block, each pair of blocks does.
 4. In a task every text is searched by DivideSkip: the ``L`` longest of its inverted lists are set aside, the short ones are
-   merged by a heap, texts found on at least ``T - L`` of them are looked up in the long lists by binary search, and
-   those that reach the overlap link. First, texts are searched among leaders (texts that found no leader before them); texts
+   merged by counting, texts found on at least ``T - L`` of them are looked up in the long lists by binary search (or these
+   are merged too, if that takes fewer steps), and those that reach the overlap link. First, texts are searched among leaders (texts that found no leader before them); texts
    of the largest class need no further search, all others are searched among all texts.
 5. The links found, a forest per task, are merged by connected components, every copy gets the class of its node, and classes
    get the smallest id of their rows.
@@ -31,11 +31,9 @@ their class, null if there is none; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
-from bisect import bisect_left
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -275,44 +273,51 @@ def _chains(percent: int, final: bool):
 
 
 class Lists:
-    """Inverted lists of gram sets; positions rise as sets are added."""
+    """Inverted lists of gram sets, whose grams are numbered from 0; positions rise as sets are added."""
 
-    def __init__(self) -> None:
-        self.of: dict[int, list[int]] = {}
+    def __init__(self, grams: int) -> None:
+        self.of: list[array | None] = [None] * grams
+        self.sets = 0
 
-    def add(self, position: int, grams: list[int]) -> None:
+    def add(self, grams: list[int]) -> None:
         of = self.of
         for gram in grams:
-            found = of.get(gram)
+            found = of[gram]
             if found is None:
-                of[gram] = [position]
+                of[gram] = array("i", (self.sets,))
             else:
-                found.append(position)
+                found.append(self.sets)
+        self.sets += 1
 
-    def search(self, grams: list[int], needed: int) -> list[tuple[int, int]]:
-        """DivideSkip: ``(position, common grams)`` of all sets that share at least ``needed`` grams."""
-        lists = [found for g in grams if (found := self.of.get(g))]
+    def search(self, grams: list[int], needed: int) -> tuple[np.ndarray, np.ndarray]:
+        """DivideSkip: positions and numbers of common grams of all sets that share at least ``needed`` grams."""
+        of = self.of
+        lists = [found for g in grams if (found := of[g]) is not None]
         if len(lists) < needed:
-            return []
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         lists.sort(key=len)
-        longest = len(lists[-1])
-        aside = min(needed - 1, int(needed / (0.02 * longest.bit_length() + 1)))
+        longest = len(lists[-1]).bit_length()
+        aside = min(needed - 1, int(needed / (0.02 * longest + 1)))
         short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-        out = []
-        for position, same in groupby(heapq.merge(*short)):
-            count = sum(1 for _ in same)
-            if count < needed - aside:
-                continue
-            left = aside
-            for found in long:
-                at = bisect_left(found, position)
-                count += at < len(found) and found[at] == position
-                left -= 1
-                if count + left < needed:
+        counts = self._merged(short)
+        positions = np.flatnonzero(counts >= needed - aside)
+        # Where look-ups would take more steps than the long lists are long, these are merged as well.
+        if len(positions) * aside * longest > sum(map(len, long)):
+            counts += self._merged(long)
+        else:
+            for left in range(aside, 0, -1):
+                if not len(positions):
                     break
-            if count >= needed:
-                out.append((position, count))
-        return out
+                found = np.frombuffer(long[aside - left], np.int32)
+                at = np.minimum(np.searchsorted(found, positions), len(found) - 1)
+                counts[positions] += found[at] == positions
+                positions = positions[counts[positions] + left - 1 >= needed]
+        positions = positions[counts[positions] >= needed]
+        return positions, counts[positions]
+
+    def _merged(self, lists: list[array]) -> np.ndarray:
+        """On how many of the lists each position is."""
+        return np.bincount(np.frombuffer(b"".join(lists), np.int32), minlength=self.sets)
 
 
 class Forest:
@@ -333,33 +338,39 @@ class Forest:
 def link(sets: list[np.ndarray], percent: int) -> list[int]:
     """For each set the position of the root of its class."""
     forest = Forest(len(sets))
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    grams = [s.tolist() for s in sets]
-
-    def hits(lists: Lists, i: int) -> list[int]:
-        n = len(grams[i])
-        found = lists.search(grams[i], ceil_percent(n, percent))
-        return [j for p, c in found if 100 * c >= percent * (n + len(grams[j := ranked[p]]) - c)]
-
-    leaders = Lists()
-    ranked: list[int] = []  # lists hold places in this order, so that they stay sorted
+    sizes = np.array([len(s) for s in sets], np.int64)
+    order = np.argsort(sizes, kind="stable").tolist()
+    # Grams of one set alone are on no list, so only the others get numbers.
+    _, number, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)[number]
+    grams = [part[part >= 0].tolist() for part in np.split(shared, np.cumsum(sizes)[:-1])]
+
+    def hits(lists: Lists, ranked: np.ndarray, i: int) -> list[int]:
+        n = int(sizes[i])
+        found, common = lists.search(grams[i], ceil_percent(n, percent))
+        found = ranked[found]
+        return found[100 * common >= percent * (n + sizes[found] - common)].tolist()
+
+    count = int((seen > 1).sum())
+    leaders = Lists(count)
+    ranked = np.zeros(len(sets), np.int64)  # lists hold places in this order, so that they stay sorted
     for i in order:
-        found = hits(leaders, i)
+        found = hits(leaders, ranked, i)
         for j in found:
             forest.join(i, j)
         if not found:
-            leaders.add(len(ranked), grams[i])
-            ranked.append(i)
+            ranked[leaders.sets] = i
+            leaders.add(grams[i])
     roots = [forest.root(i) for i in range(len(sets))]
-    sizes = Counter(roots)
-    if len(sizes) > 1:
-        largest = max(sizes, key=sizes.__getitem__)
-        every, ranked = Lists(), list(range(len(sets)))
-        for i in ranked:
-            every.add(i, grams[i])
-        for i in ranked:
+    members = Counter(roots)
+    if len(members) > 1:
+        largest = max(members, key=members.__getitem__)
+        every, ranked = Lists(count), np.arange(len(sets))
+        for i in range(len(sets)):
+            every.add(grams[i])
+        for i in range(len(sets)):
             if roots[i] != largest:
-                for j in hits(every, i):
+                for j in hits(every, ranked, i):
                     forest.join(i, j)
     return [forest.root(i) for i in range(len(sets))]
 
