@@ -20,7 +20,7 @@ text every score is 0; equal texts get equal scores.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -148,6 +148,22 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     return model
 
 
+def _fitted(prior: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``positive, buckets`` to one row with the weights of ``fit``, none without a confirmed text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        for batch in batches:
+            for positive, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                groups[positive].append(np.frombuffer(packed, np.int32))
+        if groups[True]:
+            # The order in which rows come must not matter.
+            ordered = [sorted(groups[wanted], key=lambda b: b.tobytes()) for wanted in (True, False)]
+            yield pa.RecordBatch.from_arrays([pa.array([fit(*ordered, prior=prior).tobytes()], pa.binary())], ["model"])
+
+    return run
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -172,13 +188,10 @@ def train(
     # At most max_positive + max_unlabelled rows.
     chosen = F.broadcast(confirmed.unionByName(others))
     texts = trained.select(F.col(key).alias("id"), F.col(text).alias("text")).join(chosen, "id")
-    rows = _features(texts.select("positive", "text")).toArrow()
-    buckets = [np.frombuffer(b.as_py(), np.int32) for b in rows.column("buckets")]
-    positive = rows.column("positive").to_pylist()
-    groups = [[b for b, p in zip(buckets, positive, strict=True) if p is wanted] for wanted in (True, False)]
-    # The order of collected rows must not matter.
-    groups = [sorted(g, key=lambda b: b.tobytes()) for g in groups]
-    return fit(*groups, prior=float(prior)) if groups[0] else None
+    # The sets of long texts are large, so they meet in a task; the driver gets the model.
+    features = _features(texts.select("positive", "text")).repartition(1)
+    found = features.mapInArrow(_fitted(float(prior)), "model binary").collect()
+    return np.frombuffer(found[0]["model"]).copy() if found else None
 
 
 def score(text: Column, model: np.ndarray | None) -> Column:
